@@ -21,6 +21,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "met
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Recording a call site for every column expression doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
