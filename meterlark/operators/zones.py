@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterlark import params
 
@@ -25,6 +25,13 @@ class ZoneModel:
     def n_zones(self) -> int:
         return len(self.centroids)
 
+    def to_table(self, spark: SparkSession) -> DataFrame:
+        """(zone_id, lat, lon, longitude_factor, inertia): centroids and factor as one unit."""
+        rows = [(i, a, b, self.longitude_factor, self.inertia) for i, (a, b) in enumerate(self.centroids)]
+        return spark.createDataFrame(
+            rows, "zone_id int, lat double, lon double, longitude_factor double, inertia double"
+        )
+
     @classmethod
     def from_table(cls, centroids: DataFrame, longitude_factor: float) -> "ZoneModel":
         """From a (zone_id, lat, lon) table with one row per zone, ids 0..k-1."""

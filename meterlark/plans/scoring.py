@@ -54,6 +54,15 @@ def score_durations(
     return _keep(scored, requests, "duration", "duration_status")
 
 
+def resolved_zone(zones: ZoneModel) -> Column:
+    """The given zone, else the nearest one.
+
+    A plain coalesce would make the distances conditional, and Spark then builds them twice per row.
+    """
+    given, nearest = F.col("zone_id").cast("int"), zones.nearest("pickup_latitude", "pickup_longitude")
+    return F.when(nearest.isNull() | given.isNotNull(), given).otherwise(nearest)
+
+
 def with_request_demand(
     requests: DataFrame,
     zones: ZoneModel,
@@ -71,7 +80,7 @@ def with_request_demand(
     target = F.col("target_datetime") if target is None else target
     located = requests.withColumns(
         {
-            "pickup_zone": F.coalesce(F.col("zone_id").cast("int"), zones.nearest("pickup_latitude", "pickup_longitude")),
+            "pickup_zone": resolved_zone(zones),
             "target_hour": floor_hour(target),
         }
     )

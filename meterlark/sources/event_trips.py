@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from meterlark.operators.zones import ZoneModel
+
 TRIPS_SQL = """
 SELECT row_seq, id, vendor_id, pickup_datetime,
        pickup_datetime + elapsed_s * INTERVAL '1' SECOND AS dropoff_datetime,
@@ -84,3 +86,9 @@ def requests_from_trips(trips: DataFrame) -> DataFrame:
 
 def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def fixed_zones() -> ZoneModel:
+    """The fixed centroids as a model, from the same rule as ``CENTROIDS_SQL``."""
+    points = tuple(((4062 + 4 * (z % 6)) / 100, (-7398 + 4 * (z // 6)) / 100) for z in range(30))
+    return ZoneModel(points, LONGITUDE_FACTOR)
