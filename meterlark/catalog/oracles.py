@@ -363,7 +363,7 @@ oracle(
     f"""SELECT pickup_zone::BIGINT AS pickup_zone, hour, {HISTORY}, {CALENDAR}, {DUMMIES},
         {r('ln(1 + pickup_count)')} AS label, pickup_count::DOUBLE AS y_raw FROM demand""",
 )
-oracle("f8_duration_scale", f"SELECT id, {r('greatest(60 + trip_distance_km * 120, 10.0)')} AS seconds FROM featured")
+oracle("f8_duration_scale", f"SELECT id, {r('greatest(60 + trip_distance_km * 120, 10.0)', 4)} AS seconds FROM featured")
 oracle("f9_demand_scale", f"SELECT pickup_zone::BIGINT AS pickup_zone, hour, {r('demand_lag_24h::DOUBLE')} AS pickups FROM demand")
 
 oracle("m2_assign_zone", "SELECT id, pickup_zone::BIGINT AS pickup_zone FROM zoned")
@@ -518,8 +518,8 @@ DURATION_REASON = f"""CASE WHEN NOT coalesce(passenger_count BETWEEN 1 AND 6, fa
 def missing(fields) -> tuple[str, str]:
     """(list of the missing names as SQL, condition that there are any)."""
     cells = ", ".join(f"CASE WHEN {f} IS NULL THEN '{f}' END" for f in fields)
-    listed = f"list_filter([{cells}], x -> x IS NOT NULL)"
-    return f"'[''' || array_to_string({listed}, ''', ''') || ''']'", f"len({listed}) > 0"
+    listed = f"concat_ws(''', ''', {cells})"
+    return f"'[''' || {listed} || ''']'", "(" + " OR ".join(f"{f} IS NULL" for f in fields) + ")"
 
 
 DURATION_NAMES, DURATION_ABSENT = missing(
@@ -551,8 +551,8 @@ def status_of(reason: str) -> str:
     return f"CASE WHEN {reason} IS NULL THEN 'ok' ELSE 'unavailable' END"
 
 
-DURATIONS = f"""SELECT request_id, CASE WHEN reason IS NULL THEN {r('guess')} END AS predicted_duration_seconds,
-    CASE WHEN reason IS NULL THEN {r('guess / 60')} END AS predicted_duration_minutes, CASE WHEN reason IS NULL THEN 'by_distance' END AS model_name,
+DURATIONS = f"""SELECT request_id, CASE WHEN reason IS NULL THEN {r('guess', 4)} END AS predicted_duration_seconds,
+    CASE WHEN reason IS NULL THEN {r('guess / 60', 4)} END AS predicted_duration_minutes, CASE WHEN reason IS NULL THEN 'by_distance' END AS model_name,
     {status_of('reason')} AS status, reason FROM (SELECT request_id, {GUESS} AS guess, {FULL_DURATION_REASON} AS reason FROM requests)"""
 oracle("q2_durations", DURATIONS)
 oracle("st2_stream_scores", DURATIONS)
@@ -659,9 +659,9 @@ AFTER = f"""concat_ws(' ',
 oracle("q13_insight", f"SELECT request_id, CASE WHEN request_mode = 'pre_trip' THEN {BEFORE} ELSE {AFTER} END AS operational_insight FROM composed")
 oracle(
     "q14_unified",
-    f"""SELECT request_id, request_mode, CASE WHEN duration_reason IS NULL THEN {r('guess')} END AS duration_seconds,
-        CASE WHEN demand_reason IS NULL THEN {r(COUNT)} END AS pickups, CASE WHEN demand_reason IS NULL THEN resolved END::BIGINT AS zone,
-        CASE WHEN anomaly_reason IS NULL THEN {r(NORMAL)} END AS score, CASE WHEN anomaly_reason IS NULL THEN raw > 0.6 END AS flagged FROM composed""",
+    f"""SELECT request_id, request_mode, CASE WHEN duration_reason IS NULL THEN {r('guess', 4)} END AS duration_seconds,
+        CASE WHEN demand_reason IS NULL THEN {r(COUNT, 4)} END AS pickups, CASE WHEN demand_reason IS NULL THEN resolved END::BIGINT AS zone,
+        CASE WHEN anomaly_reason IS NULL THEN {r(NORMAL, 4)} END AS score, CASE WHEN anomaly_reason IS NULL THEN raw > 0.6 END AS flagged FROM composed""",
 )
 CONSTRAINTS = {
     **{c: f"{c} BETWEEN {lo} AND {hi}" for c, (lo, hi) in zip(ENDS, [params.GLOBE_LAT, params.GLOBE_LON] * 2)},

@@ -383,7 +383,7 @@ def f7_demand_matrix(spark, sf_dir):
 @query
 def f8_duration_scale(spark, sf_dir):
     scored = by_distance(featured(spark, sf_dir))
-    return rounded(scored.select("id", numeric.from_log(F.col("prediction"), params.MIN_TRIP_SECONDS).alias("seconds")))
+    return rounded(scored.select("id", numeric.from_log(F.col("prediction"), params.MIN_TRIP_SECONDS).alias("seconds")), 4)
 
 
 @query
@@ -681,7 +681,7 @@ def q1_validate(spark, sf_dir):
 @query
 def q2_durations(spark, sf_dir):
     scored = scoring.score_durations(requests(spark, sf_dir), by_distance, "by_distance")
-    return rounded(scored.select("request_id", "duration.*", "duration_status.status", "duration_status.reason"))
+    return rounded(scored.select("request_id", "duration.*", "duration_status.status", "duration_status.reason"), 4)
 
 
 @query
@@ -772,7 +772,8 @@ def q14_unified(spark, sf_dir):
             F.col("demand.zone_id").alias("zone"),
             F.col("anomaly.anomaly_score").alias("score"),
             F.col("anomaly.is_anomaly").alias("flagged"),
-        )
+        ),
+        4,
     )
 
 
@@ -815,4 +816,4 @@ def st2_stream_scores(spark, sf_dir):
         return scored.select("request_id", "duration.*", "duration_status.status", "duration_status.reason")
 
     score_stream(stream, score, out, scratch(spark, "scores-state")).awaitTermination()
-    return rounded(spark.read.parquet(out))
+    return rounded(spark.read.parquet(out), 4)
