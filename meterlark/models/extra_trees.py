@@ -132,9 +132,15 @@ def _slots(open_pairs: list[tuple[int, int]], trees: Trees) -> dict[int, np.ndar
     return tables
 
 
+def _few_tasks(data: DataFrame) -> DataFrame:
+    """At most one task per core: every task sends one set of sums, so fewer tasks shuffle less."""
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    return data.coalesce(cores)
+
+
 def grow(train: DataFrame, columns: tuple[str, ...], settings: ExtraTrees) -> ExtraTreesModel:
     """Fit on ``columns`` and ``label``; ``train`` should be a stage table, since it is read per level."""
-    data = train.select(*columns, "label")
+    data = _few_tasks(train.select(*columns, "label"))
     p = len(columns)
     trees, gains = Trees.roots(settings.trees), np.zeros(p)
     frontier = [(t, 0) for t in range(settings.trees)]

@@ -14,6 +14,7 @@ from meterlark import params
 from meterlark.functions.numeric import from_log
 from meterlark.operators.encoding import assemble, demand_feature_columns, zone_dummies
 from meterlark.operators.metrics import mape_nonzero, regression_metrics
+from meterlark.session import ensure_checkpoints
 
 FEATURES = "features"
 
@@ -67,6 +68,7 @@ def fit(estimator: Any, train: DataFrame, columns: Sequence[str]) -> Any:
     """
     if hasattr(estimator, "fit_table"):
         return estimator.fit_table(train, columns)
+    ensure_checkpoints(train.sparkSession)
     ready = assemble(train.select(*columns, "label"), columns, FEATURES).select(FEATURES, "label")
     return Regressor(estimator.fit(ready), tuple(columns))
 

@@ -42,6 +42,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Give Spark ML a place to cut the lineage of many boosting rounds; without one it never does."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_folder(spark)}/checkpoints")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to a table in the shared folder and read it back.
 

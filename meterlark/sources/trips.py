@@ -98,12 +98,12 @@ def parse_timestamps(df: DataFrame, columns, timestamp_format: str = "yyyy-MM-dd
 def write_stage(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Hand a stage's result to the next job as Parquet.
 
-    With ``partition_by`` the rows are first gathered by that column, so a day becomes a few files
-    instead of one per task.
+    With ``partition_by`` rows are first gathered by that column, so a day becomes a few files
+    instead of one per task; the rebalance splits a day that holds a large part of the table.
     """
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = df.repartition(partition_by).write.mode("overwrite").partitionBy(partition_by)
+        writer = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
     writer.parquet(path)
 
 
