@@ -55,8 +55,13 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_trips(spark, sf_dir)
 
 
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw trips as the table a real job would find: several files, not a projection of events."""
+    return stage(raw(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism), "raw-trips")
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_trips(raw(spark, sf_dir))
+    return cleaning.clean_trips(raw_table(spark, sf_dir))
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Ordered, audited cleaning rules.
 
 Only the duplicate rule looks beyond its own row, and it runs first. The others become one chain
-of conditions, so a table is cleaned and audited in one pass behind one shuffle.
+of conditions evaluated in a single pass.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterlark import params
 from meterlark.functions.numeric import flag, outside
 from meterlark.functions.temporal import elapsed_seconds
+from meterlark.session import fits_broadcast, stage
 
 Rule = tuple[str, Column]
 
@@ -84,17 +85,37 @@ def with_failed_rule(df: DataFrame, rules: Sequence[Rule] | None = None) -> Data
     return df.withColumn(FAILED_RULE, F.coalesce(*failed, F.lit(None).cast("int")))
 
 
+def repeated_ids(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> DataFrame:
+    """(key, first place) of the ids that occur more than once; reads and shuffles two columns."""
+    per_id = df.groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias(COPIES), F.min(order_by).alias("_first")
+    )
+    return per_id.filter(F.col(COPIES) > 1).drop(COPIES)
+
+
+def drop_later_copies(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> DataFrame:
+    """Keep the first row of every id.
+
+    Ids are meant to be unique, so the repeated ones are looked up first, from two columns. When
+    they are proven few, they are broadcast and the trips themselves are never shuffled; otherwise
+    the first rows come from an aggregate over whole rows.
+    """
+    repeated = stage(repeated_ids(df, key, order_by), "repeated-ids")
+    if not fits_broadcast(repeated):
+        return first_rows(df, key, order_by).drop(COPIES)
+    marked = df.join(F.broadcast(repeated), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return marked.filter(F.col("_first").isNull() | (F.col(order_by) == F.col("_first"))).select(*df.columns)
+
+
 def clean_trips(
     df: DataFrame, rules: Sequence[Rule] | None = None, key: str = "id", order_by: str = "row_seq"
 ) -> DataFrame:
     """Rows that survive every rule.
 
-    A row rule gives the same answer before and after the choice of first rows, so it is evaluated
-    next to the scan; it may only remove rows afterwards, because a bad first copy still removes
-    the later ones.
+    A bad first copy still removes the later ones, so no rule may act before the copies are dropped.
     """
-    firsts = first_rows(with_failed_rule(df, rules), key, order_by)
-    return firsts.filter(F.col(FAILED_RULE).isNull()).drop(FAILED_RULE, COPIES)
+    firsts = with_failed_rule(drop_later_copies(df, key, order_by), rules)
+    return firsts.filter(F.col(FAILED_RULE).isNull()).drop(FAILED_RULE)
 
 
 def cleaning_report(

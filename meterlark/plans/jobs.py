@@ -43,8 +43,9 @@ def train_zones(spark: SparkSession, work: str, k: int = params.N_ZONES, **setti
 
 
 def build_demand(spark: SparkSession, work: str, n_zones: int = params.N_ZONES) -> None:
-    """Zoned trips to ``demand_hourly``."""
-    write_stage(demand_dataset(read_stage(spark, f"{work}/train_zoned"), n_zones), f"{work}/demand_hourly")
+    """Zoned trips to ``demand_hourly``, sorted by zone and hour."""
+    dataset = demand_dataset(read_stage(spark, f"{work}/train_zoned"), n_zones)
+    write_stage(dataset.orderBy("pickup_zone", "hour"), f"{work}/demand_hourly")
 
 
 def train_durations(

@@ -60,10 +60,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
-    """A broadcast hint for a table proven small; otherwise the table as it is, for a shuffled join.
+# A broadcast table of this many narrow rows stays far below Spark's limits and an executor's memory.
+BROADCAST_ROWS = 2_000_000
 
-    Counting stops just past the bound, so the proof costs no more than the broadcast it allows.
+
+def fits_broadcast(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table of narrow rows is proven small; counting stops just past the bound."""
+    return df.limit(most_rows + 1).count() <= most_rows
+
+
+def small_side(df: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a table proven small; otherwise the table as it is, for a shuffled join."""
+    return F.broadcast(df) if fits_broadcast(df, most_rows) else df
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Set the number of shuffle partitions for an input size and return it.
+
+    The default of 200 would give partitions of hundreds of gigabytes on a large table; adaptive
+    execution merges what turns out too small, but it cannot add partitions to a plain shuffle.
     """
-    fits = df.limit(most_rows + 1).count() <= most_rows
-    return F.broadcast(df) if fits else df
+    partitions = max(200, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return partitions

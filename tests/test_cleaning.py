@@ -57,15 +57,22 @@ def test_null_ids_equal_each_other(spark, trip):
     assert report.first()["duplicate_ids"] == 4
 
 
-def test_one_id_with_a_third_of_the_rows(spark, trip):
+def test_one_id_with_a_third_of_the_rows(spark, trip, monkeypatch):
     base = spark.createDataFrame([trip(0)], RAW).drop("row_seq", "id")
     many = spark.range(30_000).withColumnRenamed("id", "row_seq").join(F.broadcast(base))
     many = many.withColumn("id", F.when(F.col("row_seq") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), "row_seq")))
     row = cleaning.cleaning_report(many).first()
     assert (row["rows_initial"], row["duplicate_ids"], row["rows_final"]) == (30_000, 9_999, 20_001)
-    # Before the shuffle a task holds one row per id, so the hot id cannot pile up in one place.
-    plan = cleaning.clean_trips(many)._jdf.queryExecution().executedPlan().toString()
+    # Few repeated ids: the trips are not shuffled at all.
+    kept = cleaning.clean_trips(many)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and kept.count() == 20_001
+    # Many: before the shuffle a task holds one row per id, so the hot id cannot pile up in one place.
+    monkeypatch.setattr(cleaning, "fits_broadcast", lambda df: False)
+    other = cleaning.clean_trips(many)
+    plan = other._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "Window" not in plan
+    assert other.exceptAll(kept).count() == 0 and other.count() == 20_001
 
 
 def test_same_result_on_any_partitioning(spark, sf_dir):
