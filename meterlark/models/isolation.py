@@ -53,7 +53,10 @@ def tree_samples(df: DataFrame, key: str, columns: Sequence[str], trees: int, sa
         "draw", stable_unit(F.concat_ws("/", "tree", "key"), seed)
     )
     place = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "key"))
-    drawn = draws.filter(F.col("draw") < share).withColumn("place", place).filter(F.col("place") <= size)
+    # The samples are small enough to be merged into one task; trees should grow side by side.
+    tasks = min(trees, 2 * df.sparkSession.sparkContext.defaultParallelism)
+    drawn = draws.filter(F.col("draw") < share).repartition(tasks, "tree")
+    drawn = drawn.withColumn("place", place).filter(F.col("place") <= size)
     return drawn.drop("key", "place"), size
 
 

@@ -14,14 +14,21 @@ PROBS = (0.0, 0.25, 0.5, 0.98, 1.0)
     np.concatenate([np.zeros(3000), np.random.default_rng(3).random(3000)]),
     np.array([7.0]), np.array([1.0, 2.0]), np.full(100, -3.5),
 ], ids=["normal", "heavy-tail", "half-ties", "single", "pair", "constant"])
-@pytest.mark.parametrize("bins", [4, 4096])
-def test_quantiles_are_exact(spark, values, bins):
+@pytest.mark.parametrize("bins,few", [(16, 20), (4096, 10**6)])
+def test_quantiles_are_exact(spark, values, bins, few):
     df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(5)
-    found = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], PROBS, bins=bins).collect()}
+    found = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], PROBS, bins, few).collect()}
     for p in PROBS:
         assert found[p] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
 
 
+def test_quantiles_with_infinite_ends(spark):
+    values = [float("-inf")] + [float(i % 50) for i in range(500)] + [float("inf")] * 3
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = [r["value"] for r in exact_quantiles(df, ["x"], (0.1, 0.5, 0.9), 8, 10).collect()]
+    assert found == np.quantile(values, (0.1, 0.5, 0.9)).tolist()
+
+
 def test_quantiles_skip_unknown_values_per_column(spark):
     df = spark.createDataFrame([(1.0, None), (3.0, float("nan")), (None, 5.0)], "a double, b double")
     found = {r["column"]: r["value"] for r in exact_quantiles(df, ["a", "b"], [0.5]).collect()}
