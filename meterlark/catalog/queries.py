@@ -273,7 +273,7 @@ def e8_sample(spark, sf_dir):
 
 @query
 def e9_summary(spark, sf_dir):
-    return rounded(profiling.numeric_summary(raw(spark, sf_dir).drop("row_seq")))
+    return rounded(profiling.numeric_summary(raw_table(spark, sf_dir).drop("row_seq")))
 
 
 @query
