@@ -41,10 +41,9 @@ def test_grid_covers_empty_zones_and_hours(spark):
 
 
 def test_counts_are_computed_once(spark, sf_dir):
-    from meterlark.operators.cleaning import clean_trips
     from meterlark.sources.event_trips import load_trips
 
-    df = demand.hourly_demand(zones.assign_zone(clean_trips(load_trips(spark, sf_dir)), fixed_zones()))
+    df = demand.hourly_demand(zones.assign_zone(load_trips(spark, sf_dir), fixed_zones()))
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Scan parquet") == 1 and "ReusedExchange" in plan
