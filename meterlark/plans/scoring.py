@@ -19,7 +19,7 @@ from meterlark.operators.demand import request_history
 from meterlark.operators.encoding import with_request_codes, with_zone_dummies
 from meterlark.operators.features import build_features
 from meterlark.operators.zones import ZoneModel
-from meterlark.session import small_side
+from meterlark.session import small_side, stage
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -84,7 +84,8 @@ def with_request_demand(
             "target_hour": floor_hour(target),
         }
     )
-    known = request_history(history, lags, windows).withColumnRenamed("zone_id", "pickup_zone")
+    # Staged: the size check and every micro-batch of a stream then read a small finished table.
+    known = stage(request_history(history, lags, windows), "request-history").withColumnRenamed("zone_id", "pickup_zone")
     joined = located.join(small_side(known), ["pickup_zone", "target_hour"], "left")
     # One subquery for the whole table, needed only inside a message.
     spanned = joined.withColumn("_span", rules.history_span(history))
