@@ -1,6 +1,5 @@
 from pyspark.sql import functions as F
 
-from meterlark import params
 from meterlark.models import regressors
 from meterlark.models.extra_trees import ExtraTrees
 from meterlark.models.stacking import base_models
