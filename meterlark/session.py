@@ -1,9 +1,12 @@
-"""Session settings and the stage tables that cut lineage between heavy steps."""
+"""Session settings, the package on the workers, and the stage tables that cut lineage between heavy steps."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -27,6 +30,11 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "met
     )
 
 
+_local_folders: dict[str, str] = {}
+_shipped: set[str] = set()
+_stages: list[tuple[SparkSession, str]] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
@@ -35,11 +43,27 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="meterlark-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    app = context.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="meterlark-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
+    return _local_folders[app]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application; they need it to unpickle the functions of tasks."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="meterlark-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:
@@ -53,11 +77,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to a table in the shared folder and read it back.
 
     Fits read their input many times; a written table is columnar, survives lost executors and
-    spares each pass the work upstream.
+    spares each pass the work upstream. ``drop_stages`` deletes the tables; the end of the program
+    does so too.
     """
-    path = f"{shared_folder(df.sparkSession)}/stage/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stage/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not _stages:
+        atexit.register(drop_stages)
+    _stages.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages() -> None:
+    """Delete every stage table written so far; only when nothing that reads them is still to run."""
+    while _stages:
+        spark, path = _stages.pop()
+        try:
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        except Exception:  # the session has ended; its folder is the cluster's to clean
+            return
 
 
 # A broadcast table of this many narrow rows stays far below Spark's limits and an executor's memory.
