@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlark.llm import packing
+from meterlark.llm import packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,16 @@ def public_bpe() -> tuple:
 @query
 def op8_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), public_bpe())
+
+
+@query
+def op10_secrets(spark, sf_dir):
+    found = secrets.scan(documents(spark, sf_dir))
+    counts = [
+        F.size(F.expr(f"filter(base, s -> s.kind = '{kind}')")).cast("long").alias(f"n_{kind}")
+        for kind, *_ in secrets.STRONG
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listing(F.col("base")), 256).alias("base_sha256"),
+        secrets.listing(F.concat("base", "linked")).alias("spans"), F.size("linked").cast("long").alias("n_linked"),
+    )
