@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlark.llm import packing, secrets
+from meterlark.llm import line_dedup, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,45 @@ def public_bpe() -> tuple:
     return files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN
 
 
+@query
+def op2_line_dedup(spark, sf_dir):
+    out = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return out.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"),
+        F.array_join("keep_runs", ",").alias("keep_runs"),
+    )
+
+
+ORACLES["op2_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+    FROM documents),
+keyed AS (
+    SELECT doc_id, pos, line,
+           translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines),
+firsts AS (SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10 GROUP BY key),
+flagged AS (
+    SELECT k.doc_id, k.pos, k.line, coalesce(k.doc_id > f.first_doc, false) AS dropped
+    FROM keyed k LEFT JOIN firsts f ON k.key = f.key AND length(k.key) >= 10),
+changes AS (
+    SELECT *, CASE WHEN dropped = lag(dropped) OVER (PARTITION BY doc_id ORDER BY pos) THEN 0 ELSE 1 END AS change
+    FROM flagged),
+runs AS (SELECT *, sum(change) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM changes),
+lengths AS (SELECT doc_id, run, bool_or(dropped) AS dropped, count(*) AS n FROM runs GROUP BY doc_id, run),
+bitmaps AS (
+    SELECT doc_id, CASE WHEN bool_or(dropped AND run = 1) THEN '0,' ELSE '' END
+                   || string_agg(CAST(n AS VARCHAR), ',' ORDER BY run) AS keep_runs
+    FROM lengths GROUP BY doc_id)
+SELECT r.doc_id, count(*) AS n_lines, count_if(dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256,
+       any_value(b.keep_runs) AS keep_runs
+FROM runs r JOIN bitmaps b ON r.doc_id = b.doc_id GROUP BY r.doc_id
+"""
+
+
 @query
 def op8_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), public_bpe())
