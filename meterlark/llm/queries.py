@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlark.llm import fingerprints, line_dedup, packing, secrets
+from meterlark.llm import fingerprints, line_dedup, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,6 +72,11 @@ FROM runs r JOIN bitmaps b ON r.doc_id = b.doc_id GROUP BY r.doc_id
 """
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_fingerprints(spark, sf_dir):
     return fingerprints.compare_with_next(documents(spark, sf_dir))
