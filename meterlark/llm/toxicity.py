@@ -23,9 +23,11 @@ HIDDEN = 8
 EPOCHS = 6
 BATCH = 64
 SEED = 20
-# The bounds of the training sample: documents per label, and code points of a document that may enter it.
-SAMPLE = 1500
-LONGEST_SAMPLED = 40_000
+# The bounds of the training sample: toxic documents, clean documents for each of these, and code points of a
+# document that may enter it.
+SAMPLE = 1000
+CLEAN_PER_TOXIC = 2
+LONGEST_SAMPLED = 20_000
 # A word or gram is known when so many sampled documents hold it, at most so many of each.
 LEAST_DOCUMENTS = 3
 KNOWN = 20_000
@@ -33,6 +35,7 @@ KNOWN = 20_000
 SCORED = 2048
 
 FOLDS = 5
+HELD_FOR_SCALE = 5
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[128:] = True
@@ -139,10 +142,11 @@ class Model:
 
 def evidence(rows: np.ndarray, texts: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Known hashes (sorted) and how much likelier each makes a toxic document, as a smoothed log ratio."""
-    pairs = np.unique(np.stack([rows, texts.astype(U64)], axis=1), axis=0)
-    known, number, count = np.unique(pairs[:, 0], return_inverse=True, return_counts=True)
-    number = number.reshape(-1)
-    held = np.bincount(number, weights=toxic[pairs[:, 1].astype(np.int64)], minlength=len(known))
+    known, number = np.unique(rows, return_inverse=True)
+    pairs = np.unique(number * len(toxic) + texts)  # one per hash and text
+    number, text = pairs // len(toxic), pairs % len(toxic)
+    count = np.bincount(number, minlength=len(known))
+    held = np.bincount(number, weights=toxic[text], minlength=len(known))
     frequent = count >= LEAST_DOCUMENTS
     if frequent.sum() > KNOWN:
         frequent = frequent & (count >= np.sort(count)[-KNOWN])
@@ -155,12 +159,21 @@ def evidence(rows: np.ndarray, texts: np.ndarray, toxic: np.ndarray) -> tuple[np
 
 
 def train(texts: list[str], toxic: np.ndarray, natural_share: float, seed: int = SEED) -> Model:
-    """Fit to labelled texts; ``natural_share``: toxic documents among all labelled ones, for the scale of scores."""
+    """Fit to labelled texts; ``natural_share``: toxic documents among all labelled ones, for the scale of scores.
+
+    One text in ``HELD_FOR_SCALE`` of each label only sets the scale: the network has not seen it.
+    """
+    aside = np.zeros(len(texts), dtype=bool)
+    for label in (0, 1):
+        aside[np.flatnonzero(toxic == label)[HELD_FOR_SCALE - 1 :: HELD_FOR_SCALE]] = True
+    later = [t for t, a in zip(texts, aside) if a], toxic[aside]
+    texts, toxic = [t for t, a in zip(texts, aside) if not a], toxic[~aside]
     words = split_words(texts)
     text_of = np.repeat(np.arange(len(texts)), np.diff(words.place))
     known_words, word_ratio = evidence(words.hashes[words.token], text_of, toxic)
     # The distinct words of each text carry its grams.
-    pairs = np.unique(np.stack([text_of, words.token], axis=1), axis=0)
+    pairs = np.unique(text_of * len(words.hashes) + words.token)
+    pairs = np.stack([pairs // len(words.hashes), pairs % len(words.hashes)], axis=1)
     by_word = np.searchsorted(words.owner, np.arange(len(words.hashes) + 1))
     counts = np.diff(by_word)[pairs[:, 1]]
     flat = np.repeat(by_word[pairs[:, 1]], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -202,8 +215,14 @@ def train(texts: list[str], toxic: np.ndarray, natural_share: float, seed: int =
             adam.step(p, gru.gradients(p, batch, local.reshape(-1, WINDOW), target[rows], weight[rows].astype(gru.F32)))
         inputs = table.inputs(p)
         logit = np.concatenate([gru.forward(p, inputs, windows[i : i + SCORED]) for i in range(0, len(windows), SCORED)])
-    share = np.where(toxic == 1, natural_share / max(1, toxic.sum()), (1 - natural_share) / max(1, (1 - toxic).sum()))
-    model.scale, model.shift = calibrate(logit[strongest()], toxic, share / share.sum())
+    unseen, of = model.window_logits(split_words(later[0]))
+    worst = np.full(len(later[0]), -np.inf)
+    np.maximum.at(worst, of, unseen)
+    y = later[1]
+    if len(set(y.tolist())) < 2:
+        worst, y = logit[strongest()], toxic
+    share = np.where(y == 1, natural_share / y.sum(), (1 - natural_share) / (1 - y).sum())
+    model.scale, model.shift = calibrate(worst, y, share / share.sum())
     return model
 
 
@@ -229,7 +248,8 @@ def calibrate(logit: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple
 
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
-    """Texts and labels of at most ``size`` documents per label outside the held-out fold, and the share of toxic ones.
+    """Texts and labels of at most ``size`` toxic documents and ``CLEAN_PER_TOXIC`` times as many clean ones outside the
+    held-out fold, and the share of toxic ones among all.
 
     Chosen by a hash of the id among the labelled rows; a document with two labels counts by the larger one.
     """
@@ -237,12 +257,13 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list
     sizes = dict(learnt.groupBy("toxic").count().collect())
     # Twice the bound of ids are looked up, since some are absent from the documents or too long for the sample.
     order = F.xxhash64("doc_id")
-    ids = [learnt.filter(F.col("toxic") == t).orderBy(order, "doc_id").limit(2 * size) for t in (0, 1)]
+    most = {0: CLEAN_PER_TOXIC * size, 1: size}
+    ids = {t: learnt.filter(F.col("toxic") == t).orderBy(order, "doc_id").limit(2 * n) for t, n in most.items()}
     held = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= LONGEST_SAMPLED)
-    chosen = [F.broadcast(i) for i in ids]  # at most 2 * size rows of two numbers each
     parts = []
-    for t, part in enumerate(chosen):
-        parts.append(held.join(part, "doc_id").orderBy(order, "doc_id", "text").limit(size).toPandas())
+    for t, n in most.items():
+        # A broadcast of at most 2 * n rows of two numbers each.
+        parts.append(held.join(F.broadcast(ids[t]), "doc_id").orderBy(order, "doc_id", "text").limit(n).toPandas())
     rows = pd.concat(parts)
     total = sum(sizes.values())
     return rows["text"].tolist(), rows["toxic"].to_numpy(dtype=np.int64), sizes.get(1, 0) / total if total else 0.0
