@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlark.llm import fingerprints, line_dedup, packing, secrets, toxicity
+from meterlark.llm import embedding_dedup, fingerprints, line_dedup, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,3 +98,8 @@ def op10_secrets(spark, sf_dir):
         "doc_id", *counts, F.sha2(secrets.listing(F.col("base")), 256).alias("base_sha256"),
         secrets.listing(F.concat("base", "linked")).alias("spans"), F.size("linked").cast("long").alias("n_linked"),
     )
+
+
+@query
+def op9_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.dedup_embeddings(table(spark, sf_dir, "embeddings"))
