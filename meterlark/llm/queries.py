@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlark.llm import embedding_dedup, fingerprints, line_dedup, packing, secrets, toxicity
+from meterlark.llm import embedding_dedup, fingerprints, line_dedup, order_minhash, packing, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,11 @@ def public_bpe() -> tuple:
     return files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN
 
 
+@query
+def op1_order_minhash(spark, sf_dir):
+    return order_minhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op2_line_dedup(spark, sf_dir):
     out = line_dedup.dedup_lines(documents(spark, sf_dir))
