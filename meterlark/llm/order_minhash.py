@@ -39,7 +39,7 @@ def labelled(hashes: np.ndarray, k: int = WORDS) -> np.ndarray:
     ordered = s[order]
     new = np.append(True, ordered[1:] != ordered[:-1]) if len(s) else np.zeros(0, dtype=bool)
     if new.all():
-        return s
+        return mix(s)
     at = np.arange(len(s))
     occurrence = np.empty(len(s), dtype=U64)
     occurrence[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(U64)
