@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlark.llm import gru
-from meterlark.llm.text import BASES, U64, Buffer, Prefix, buffers, mix
+from meterlark.llm.text import BUFFER_CHARS, U64, Buffer, Prefix, buffers, mix
 
 WINDOW = 32
 STRIDE = 16
@@ -93,6 +93,25 @@ def split_words(texts: list[str]) -> Words:
     return Words(hashes, token, place, grams[order], owner[order])
 
 
+def split_sample(texts: list[str]) -> Words:
+    """``split_words`` of many texts a buffer at a time: the byte arrays of the whole sample would crowd the driver."""
+    sizes = np.array([len(t) for t in texts])
+    part = (np.cumsum(sizes) - sizes) // BUFFER_CHARS
+    parts = [split_words([texts[i] for i in np.flatnonzero(part == n)]) for n in np.unique(part)]
+    start = np.cumsum([0, *(len(w.hashes) for w in parts)])
+    hashes, first, number = np.unique(np.concatenate([w.hashes for w in parts]), return_index=True, return_inverse=True)
+    grams, owners = [], []
+    for w, at in zip(parts, start):
+        new = first[number[at + w.owner]] == at + w.owner  # a word's grams come from the first part that holds it
+        grams.append(w.grams[new])
+        owners.append(number[at + w.owner[new]])
+    grams, owner = np.concatenate(grams), np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    token = np.concatenate([number[at + w.token] for w, at in zip(parts, start)])
+    place = np.append(0, np.cumsum(np.concatenate([np.diff(w.place) for w in parts])))
+    return Words(hashes, token, place, grams[order], owner[order])
+
+
 def lookup(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The row (from 1) of each wanted hash among the sorted known ones, 0 when it is none of them."""
     at = np.searchsorted(known, wanted)
@@ -168,7 +187,7 @@ def train(texts: list[str], toxic: np.ndarray, natural_share: float, seed: int =
         aside[np.flatnonzero(toxic == label)[HELD_FOR_SCALE - 1 :: HELD_FOR_SCALE]] = True
     later = [t for t, a in zip(texts, aside) if a], toxic[aside]
     texts, toxic = [t for t, a in zip(texts, aside) if not a], toxic[~aside]
-    words = split_words(texts)
+    words = split_sample(texts)
     text_of = np.repeat(np.arange(len(texts)), np.diff(words.place))
     known_words, word_ratio = evidence(words.hashes[words.token], text_of, toxic)
     # The distinct words of each text carry its grams.
@@ -215,7 +234,7 @@ def train(texts: list[str], toxic: np.ndarray, natural_share: float, seed: int =
             adam.step(p, gru.gradients(p, batch, local.reshape(-1, WINDOW), target[rows], weight[rows].astype(gru.F32)))
         inputs = table.inputs(p)
         logit = np.concatenate([gru.forward(p, inputs, windows[i : i + SCORED]) for i in range(0, len(windows), SCORED)])
-    unseen, of = model.window_logits(split_words(later[0]))
+    unseen, of = model.window_logits(split_sample(later[0]))
     worst = np.full(len(later[0]), -np.inf)
     np.maximum.at(worst, of, unseen)
     y = later[1]
