@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlark.llm import chunk_dedup, embedding_dedup, fingerprints, line_dedup, order_minhash, packing, secrets, toxicity
+from meterlark.llm import chunk_dedup, embedding_dedup, fingerprints, line_dedup, order_minhash, packing, secrets, site_quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,6 +77,11 @@ FROM runs r JOIN bitmaps b ON r.doc_id = b.doc_id GROUP BY r.doc_id
 """
 
 
+@query
+def op4_site_quality(spark, sf_dir):
+    return site_quality.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_chunk_dedup(spark, sf_dir):
     return chunk_dedup.repeated_passages(documents(spark, sf_dir))
