@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlark.llm import chunk_dedup, embedding_dedup, fingerprints, line_dedup, order_minhash, packing, secrets, site_quality, toxicity
+from meterlark.llm import chunk_dedup, embedding_dedup, fingerprints, line_dedup, mixing, order_minhash, packing, secrets, site_quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,6 +77,58 @@ FROM runs r JOIN bitmaps b ON r.doc_id = b.doc_id GROUP BY r.doc_id
 """
 
 
+@query
+def op3_mixing(spark, sf_dir):
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def mixing_sql(documents: str, cover: bool) -> str:
+    """Common table expressions ending in ``mix``: every use of every row of ``documents``. Values written out on purpose."""
+    most = "max(pow(share, m - 1)) * max(pow(share, 1 - m))" if cover else "max(pow(share, m - 1)) / sum(pow(share, m))"
+    most_zero = most.replace("m - 1", "-1").replace("1 - m", "1").replace(", m)", ", 0)")
+    budget = "total * s * c" if cover else "CAST(total AS DOUBLE)"
+    return rf"""
+counted AS (
+    SELECT *, coalesce(CAST(source AS VARCHAR), '') AS src,
+           CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 6)) AS BIGINT) % 1024 AS block,
+           len(regexp_extract_all(coalesce(text, ''), '[^	- ]+')) AS n_tokens
+    FROM {documents}),
+blocks AS (SELECT src, block, sum(n_tokens)::BIGINT AS tokens FROM counted GROUP BY src, block),
+sources AS (SELECT src, sum(tokens)::BIGINT AS all_tokens FROM blocks GROUP BY src),
+total AS (SELECT sum(all_tokens)::BIGINT AS total FROM sources),
+shares AS (SELECT src, all_tokens / CAST(total AS DOUBLE) AS share FROM sources, total WHERE all_tokens > 0),
+ends AS (SELECT {most_zero} <= 1.25 AS flat FROM shares),
+bisected AS (
+    SELECT 0 AS step, CAST(0 AS DOUBLE) AS low, CASE WHEN flat THEN CAST(0 AS DOUBLE) ELSE 1 END AS high FROM ends
+    UNION ALL
+    SELECT step + 1, CASE WHEN ok THEN low ELSE m END, CASE WHEN ok THEN m ELSE high END
+    FROM (SELECT step, low, high, m, (SELECT {most} <= 1.25 FROM shares) AS ok
+          FROM (SELECT *, (low + high) / 2 AS m FROM bisected WHERE step < 40))),
+exponent AS (SELECT high AS a FROM bisected WHERE step = 40),
+norm AS (SELECT any_value(a) AS a, sum(pow(share, a)) AS s, max(pow(share, 1 - a)) AS c FROM shares, exponent),
+uses AS (
+    SELECT sources.src, round(coalesce(pow(share, a) / s, 0), 9) AS weight, all_tokens, a,
+           round(coalesce(pow(share, a) / s * ({budget}) / all_tokens, 1), 9) AS repetition
+    FROM sources LEFT JOIN shares ON sources.src = shares.src, norm, total),
+dealt AS (
+    SELECT blocks.src, blocks.block, tokens, weight, a, floor(repetition) AS whole,
+           floor((repetition - floor(repetition)) * all_tokens) AS rest, unnest(range(CAST(floor(repetition) AS BIGINT) + 1)) AS epoch
+    FROM blocks JOIN uses ON blocks.src = uses.src),
+ranked AS (
+    SELECT *, row_number() OVER o AS block_rank, sum(tokens) OVER (o ROWS UNBOUNDED PRECEDING) AS used FROM dealt
+    WINDOW o AS (PARTITION BY src, epoch ORDER BY md5('mix:' || src || ':' || epoch || ':' || block), block)),
+plan AS (SELECT * FROM ranked WHERE epoch < whole OR (rest > 0 AND used <= rest)),
+mix AS (
+    SELECT counted.*, plan.epoch, plan.block_rank, plan.weight, plan.a
+    FROM counted JOIN plan ON counted.src = plan.src AND counted.block = plan.block)"""
+
+
+ORACLES["op3_mixing"] = f"""
+WITH RECURSIVE {mixing_sql('documents', cover=False)}
+SELECT doc_id, src AS source, n_tokens, epoch, block, block_rank, weight, round(a, 9) AS exponent FROM mix
+"""
+
+
 @query
 def op4_site_quality(spark, sf_dir):
     return site_quality.quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
