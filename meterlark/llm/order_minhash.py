@@ -185,18 +185,8 @@ def remaining_pairs(members: DataFrame, least: float) -> DataFrame:
     return across(small, key).unionByName(across(few, two)).unionByName(star_pairs(many, two, least)).distinct()
 
 
-def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """doc_id, class_id, kept: one row per row of ``docs``; the smallest doc_id of a class is kept.
-
-    ``docs`` needs doc_id and text; other columns are ignored whatever their names. Documents with the same words are one
-    class at once, and only one of them is compared. Links between classes are similar pairs; classes are what links connect.
-    A null, empty or blank text has no shingle and is alone, also among its like; so is a row without doc_id, whose
-    class is null. Rows that share a doc_id are one document, in the class of either text. An empty table gives no rows.
-
-    Buckets are never paired all with all. First every document meets one leader per table. Then only buckets whose documents are
-    still in several groups are looked at again, see ``remaining_pairs``.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
+def classes_of(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """(_id, _key, class): the class of every document that has words, by doc_id and hash of its text."""
     found = stage(sketches(docs), "near-sketches")
     classes = stage(found.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.min_by("text_key", "doc_id").alias("key"),
@@ -214,13 +204,37 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     shared = twice.join(found.groupBy("doc_id").agg(F.min("text_key").alias("x"), F.max("text_key").alias("y")).filter("x <> y").select(F.col("doc_id").alias("a")), "a")
     links = first.unionByName(second).unionByName(shared.select("a", "b"))
     groups = connected_components(links)
-    named = (
+    return (
         found.select("doc_id", "text_key", "h1", "h2").distinct().join(classes.select("h1", "h2", "rep"), ["h1", "h2"])
         .join(groups, F.col("rep") == F.col("id"), "left")
         .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.coalesce("component", "rep").alias("class"))
         .groupBy("_id", "_key").agg(F.min("class").alias("class"))
     )
+
+
+def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """doc_id, class_id, kept: one row per row of ``docs``; the smallest doc_id of a class is kept.
+
+    ``docs`` needs doc_id and text; other columns are ignored whatever their names. Documents with the same words are one
+    class at once, and only one of them is compared. Links between classes are similar pairs; classes are what links connect.
+    A null, empty or blank text has no shingle and is alone, also among its like; so is a row without doc_id, whose
+    class is null. Rows that share a doc_id are one document, in the class of either text. An empty table gives no rows.
+
+    Buckets are never paired all with all. First every document meets one leader per table. Then only buckets whose documents are
+    still in several groups are looked at again, see ``remaining_pairs``.
+    """
+    named = classes_of(docs, least)
+    text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("text_key"))
     out = rows.join(named, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     class_id = F.coalesce("class", "doc_id")
     return out.select("doc_id", class_id.alias("class_id"), F.coalesce(class_id == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def keep_first(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """The rows of ``docs``, all columns, of the documents that are the smallest of their class.
+
+    Rows that share a doc_id are one document and stay or go together; see ``near_duplicates``.
+    """
+    later = classes_of(docs, least).filter("class < _id").select("_id").distinct()
+    return docs.join(later.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_anti")

@@ -304,6 +304,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInPandas(run, SCORES).select("doc_id", "held_out", "score", "predicted")
 
 
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below 0.5. Each row is judged where it lies; nothing is joined."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def toxic(texts: pd.Series) -> pd.Series:
+        parts = [shared.value.scores(rows["text"].tolist()) for rows in buffers(iter([texts.rename("text").to_frame()]))]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
+
+    return docs.filter(toxic(F.col("text")) < 0.5)
+
+
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:
     """A model from labelled documents, or None when one of the two labels is missing."""
     texts, toxic, share = sample(docs, labels, size)
