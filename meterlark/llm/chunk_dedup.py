@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from meterlark.llm.text import BASES, U64, Buffer, Prefix, buffers
+from meterlark.llm.text import BASES, U64, Buffer, Prefix, buffers, small_batches
 
 # Bytes that decide on a cut, the share of places that are cuts, and the bounds of a chunk in bytes: chunks of 45 bytes on average.
 GEAR_WIDTH = 16
@@ -109,7 +109,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             })
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
+    rows = small_batches(docs).filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
     return rows.mapInPandas(run, CHUNKS)
 
 

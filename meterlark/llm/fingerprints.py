@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterlark.llm.text import BASES, BUFFER_CHARS, U64, Buffer, Prefix, buffers, mix
+from meterlark.llm.text import BASES, BUFFER_CHARS, U64, Buffer, Prefix, buffers, mix, small_batches
 
 STRONG = 4
 LANES = 128
@@ -100,7 +100,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
             prints = written(fingerprints(frame["text"].tolist()))
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "fingerprint": prints})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fingerprint string")
+    return small_batches(docs).select("doc_id", "text").mapInPandas(run, "doc_id long, fingerprint string")
 
 
 # Ranges hold this many documents, unless that gives more than this many ranges per shuffle partition.
@@ -192,4 +192,4 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         if pending:
             yield done()
 
-    return dealt.mapInPandas(run, COMPARED)
+    return small_batches(dealt).mapInPandas(run, COMPARED)

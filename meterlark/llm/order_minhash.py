@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from meterlark.llm.components import connected_components
-from meterlark.llm.text import BASES, U64, Buffer, buffers, mix, shingles
+from meterlark.llm.text import BASES, U64, Buffer, buffers, mix, shingles, small_batches
 from meterlark.session import stage
 
 WORDS = 5
@@ -104,7 +104,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in SKETCHES.split(", ")])
 
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text")).mapInPandas(run, SKETCHES)
+    return small_batches(docs).filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text")).mapInPandas(run, SKETCHES)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -117,8 +117,9 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
         pairs.select(F.col("b").alias("id"), F.col("b_key").alias("key"))).distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    # Rows that repeat a document hold one text: one of them answers.
-    held = stage(wanted.join(texts, ["id", "key"]).groupBy("id", "key").agg(F.first("text").alias("text")), "near-texts")
+    # The ids are the few, and build the hash side: texts are shuffled once and never sorted. Rows that repeat a document hold one
+    # text: one of them answers.
+    held = stage(texts.join(wanted.hint("shuffle_hash"), ["id", "key"]).groupBy("id", "key").agg(F.first("text").alias("text")), "near-texts")
     left = held.select(F.col("id").alias("a"), F.col("key").alias("a_key"), F.col("text").alias("a_text"))
     right = held.select(F.col("id").alias("b"), F.col("key").alias("b_key"), F.col("text").alias("text"))
 
@@ -133,7 +134,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
             yield frame.loc[similar, ["a", "b"]]
 
     joined = pairs.join(left, ["a", "a_key"]).join(right, ["b", "b_key"]).select("a", "b", "a_text", "text")
-    return joined.mapInPandas(run, "a long, b long")
+    return small_batches(joined).mapInPandas(run, "a long, b long")
 
 
 def ordered_pair(x: str, y: str) -> list:
@@ -151,8 +152,11 @@ def reachable(x: str, y: str, least: float):
 
 def star_pairs(members: DataFrame, key: list[str], least: float) -> DataFrame:
     """Every member (struct ``doc``) of a bucket with one leader of the bucket, chosen by a hash that differs between buckets."""
+    chosen = F.xxhash64(F.col("doc.id"), *key)
+    # Field by field, since sums of plain numbers need no sorting.
     leaders = members.groupBy(*key).agg(
-        F.min_by("doc", F.xxhash64(F.col("doc.id"), *key)).alias("leader"), F.count(F.lit(1)).alias("held")).filter("held > 1")
+        *[F.min_by(f"doc.{c}", chosen).alias(f"leader_{c}") for c in ("id", "key", "size")], F.count(F.lit(1)).alias("held")
+    ).filter("held > 1").select(*key, F.struct(*[F.col(f"leader_{c}").alias(c) for c in ("id", "key", "size")]).alias("leader"))
     met = members.join(leaders, key).filter(F.col("doc.id") != F.col("leader.id")).filter(reachable("doc", "leader", least))
     return met.select(*ordered_pair("doc", "leader")).distinct()
 

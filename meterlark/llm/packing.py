@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from meterlark.llm.text import buffers
+from meterlark.llm.text import buffers, small_batches
 from meterlark.session import stage
 
 CAPACITY = 2048
@@ -131,7 +131,7 @@ def token_pieces(docs: DataFrame, tokenizer: tuple, capacity: int = CAPACITY, en
                 rows = []
         yield frame_of(rows, names)
 
-    return docs.select("doc_id", "text").mapInPandas(run, PIECES)
+    return small_batches(docs).select("doc_id", "text").mapInPandas(run, PIECES)
 
 
 def frame_of(rows: list[tuple], names: list[str]) -> pd.DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from meterlark.llm.text import Buffer, Prefix, buffers
+from meterlark.llm.text import Buffer, Prefix, buffers, small_batches
 from meterlark.llm.toxicity import fold
 from meterlark.session import stage
 
@@ -147,7 +147,7 @@ def evidence(docs: DataFrame, model: Classifier) -> DataFrame:
         for frame in buffers(frames):
             yield frame.drop(columns="text").assign(evidence=shared.value.evidence(frame["text"].tolist()))
 
-    return docs.select("doc_id", "host", "path", "held_out", "text").mapInPandas(run, EVIDENCE)
+    return small_batches(docs).select("doc_id", "host", "path", "held_out", "text").mapInPandas(run, EVIDENCE)
 
 
 def strength(groups: DataFrame, mean: str, prior: str) -> float:

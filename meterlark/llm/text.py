@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
 
-# Texts of one buffer hold about this many characters, so that a worker's arrays stay near 100 MB however
+# Texts of one buffer hold about this many characters, so that a worker's arrays stay near 50 MB however
 # large an Arrow batch is. A longer text is a buffer of its own: it is never cut.
-BUFFER_CHARS = 2 << 20
+BUFFER_CHARS = 1 << 19
+# Bytes of an Arrow batch of texts: it exists several times over, in the JVM and in Python, for every task at once.
+BATCH_BYTES = 8 << 20
 
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
@@ -21,6 +23,15 @@ U64 = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches no larger than suits whole texts."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = int(str(conf.get(name, "-1")).rstrip("b"))
+    if size < 0 or size > BATCH_BYTES:
+        conf.set(name, f"{BATCH_BYTES}b")
+    return df
+
+
 def buffers(frames: Iterator[pd.DataFrame], column: str = "text") -> Iterator[pd.DataFrame]:
     """The rows of Arrow batches in slices of a bounded text size; a null text is an empty one."""
     for frame in frames:
@@ -39,16 +50,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-@lru_cache(maxsize=4)
+_held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2**64 and of its inverse."""
-    inverse = pow(base, -1, 1 << 64)
-    out = []
-    for b in (base, inverse):
-        p = np.full(size, b, dtype=U64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+    """Powers of an odd base modulo 2**64 and of its inverse; the longest asked for so far is held."""
+    if base not in _held or len(_held[base][0]) < size:
+        made = []
+        for b in (base, pow(base, -1, 1 << 64)):
+            p = np.full(size, b, dtype=U64)
+            p[0] = 1
+            made.append(np.multiply.accumulate(p))
+        _held[base] = made[0], made[1]
+    return _held[base]
 
 
 class Prefix:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlark.llm import gru
-from meterlark.llm.text import BUFFER_CHARS, U64, Buffer, Prefix, buffers, mix
+from meterlark.llm.text import BUFFER_CHARS, U64, Buffer, Prefix, buffers, mix, small_batches
 
 WINDOW = 32
 STRIDE = 16
@@ -300,7 +300,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             found = shared.value.scores(frame["text"].tolist())
             yield frame.drop(columns="text").assign(score=found, predicted=(found >= 0.5).astype("int32"))
 
-    rows = docs.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "text")
+    rows = small_batches(docs).select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "text")
     return rows.mapInPandas(run, SCORES).select("doc_id", "held_out", "score", "predicted")
 
 
@@ -313,7 +313,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
         parts = [shared.value.scores(rows["text"].tolist()) for rows in buffers(iter([texts.rename("text").to_frame()]))]
         return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
-    return docs.filter(toxic(F.col("text")) < 0.5)
+    return small_batches(docs).filter(toxic(F.col("text")) < 0.5)
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:
