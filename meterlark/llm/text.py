@@ -26,8 +26,8 @@ BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 def small_batches(df: DataFrame) -> DataFrame:
     """``df``, with the session's Arrow batches no larger than suits whole texts."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    size = int(str(conf.get(name, "-1")).rstrip("b"))
-    if size < 0 or size > BATCH_BYTES:
+    given = conf.get(name)  # a number of bytes, with a b behind it unless the user wrote another unit
+    if not given.rstrip("b").isdigit() or int(given.rstrip("b")) > BATCH_BYTES:
         conf.set(name, f"{BATCH_BYTES}b")
     return df
 
