@@ -156,4 +156,5 @@ def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
             F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.greatest(c["start"] - acc["at"], F.lit(0)).cast("int"))).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))),
     )
-    return docs.join(cuts, F.col("doc_id") == F.col("_id"), "left").select(*[kept.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text").join(cuts, F.col("doc_id") == F.col("_id"), "left")
+    return rows.select(F.col("row").withField("text", kept).alias("row")).select("row.*")

@@ -8,7 +8,7 @@ from meterlark.session import stage
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component) of every node of ``edges`` (a, b), two longs without nulls; a node's own id is reachable.
+    """(id, component) of every node of ``edges`` (a, b) that an edge leads to another; two longs without nulls.
 
     Alternates two steps (Kiveris et al., "Connected components in MapReduce and beyond", 2014): each node links its larger
     neighbours to its smallest neighbour, then its smaller ones. Both steps keep at most one edge per edge. A node's

@@ -104,24 +104,22 @@ def dedup_lines(docs: DataFrame, shortest: int = SHORTEST_KEY) -> DataFrame:
     keeps its lines, all of them; rows with the same doc_id are one document. A null doc_id is one document
     behind all others. An empty table gives no rows.
     """
-    made = ("n_lines", "n_dropped", "keep_runs", "kept_text", "text_key", "dropped")
-    carried = [c for c in docs.columns if c not in made]
+    made = ("n_lines", "n_dropped", "keep_runs", "kept_text")
+    # The columns of ``docs`` travel as one, whatever their names.
+    carried = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in made])
     maps = keep_bitmaps(docs, shortest).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "dropped")
-    text = whole_text()
-    joined = docs.select(*carried, F.xxhash64(text).alias("text_key")).join(
+    joined = docs.select(carried.alias("row"), "doc_id", F.xxhash64(whole_text()).alias("text_key")).join(
         maps.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left"
     )
+    text = F.coalesce("row.text", F.lit(""))
     lines = lines_of(text)
     dropped = F.coalesce("dropped", F.expr("cast(array() as array<int>)"))
     # One flag per line, so that each line is looked up once however many are dropped.
     flags = F.flatten(F.transform(F.col("keep_runs"), lambda n, i: F.array_repeat(i % 2 == 0, n)))
     out = joined.select(
-        *carried, F.size(lines).cast("long").alias("n_lines"), F.size(dropped).cast("long").alias("n_dropped"),
+        "row", F.size(lines).cast("long").alias("n_lines"), F.size(dropped).cast("long").alias("n_dropped"),
         run_lengths(dropped, F.size(lines)).alias("keep_runs"),
     )
-    return out.select(
-        *carried, "n_lines", "n_dropped", "keep_runs",
-        F.when(F.col("n_dropped") == 0, text).otherwise(
-            F.transform(F.array(flags), lambda f: F.array_join(F.filter(lines, lambda _, i: F.get(f, i)), "\n"))[0]
-        ).alias("kept_text"),
-    )
+    kept = F.when(F.col("n_dropped") == 0, text).otherwise(
+        F.transform(F.array(flags), lambda f: F.array_join(F.filter(lines, lambda _, i: F.get(f, i)), "\n"))[0])
+    return out.withColumn("kept_text", kept).select("row.*", *made)

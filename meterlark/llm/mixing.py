@@ -124,12 +124,12 @@ def mixing_plan(tokens: DataFrame, target: Target = Target(), seed: str = SEED)
         "source", "block", F.col("epoch").cast("long"), F.col("block_rank").cast("long"), "weight", F.lit(round(a, 9)).alias("exponent"))
 
 
-def joined(rows: DataFrame, plan: DataFrame, source: str = "source", block: str = "block") -> DataFrame:
+def joined(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """``rows`` with every use of their block; the hot source is spread over its blocks."""
     if plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         plan = F.broadcast(plan)
     right = plan.select(*[F.col(c).alias(f"_{c}") for c in plan.columns])
-    return rows.join(right, (F.col(source) == F.col("_source")) & (F.col(block) == F.col("_block")))
+    return rows.join(right, (F.col("source") == F.col("_source")) & (F.col("block") == F.col("_block")))
 
 
 def document_tokens(docs: DataFrame, seed: str = SEED) -> DataFrame:
@@ -155,5 +155,6 @@ def mix(docs: DataFrame, target: Target = Target(), seed: str = SEED) -> DataFra
 def mixed(docs: DataFrame, target: Target = Target(), seed: str = SEED) -> DataFrame:
     """The rows of ``docs``, all columns, as often as the mix uses them."""
     plan = stage(mixing_plan(document_tokens(docs, seed).select("source", "block", "n_tokens"), target, seed), "mix-plan")
-    keyed = docs.withColumns({"__source": source_name(F.col("source")), "__block": block_of(F.col("doc_id"), seed)})
-    return joined(keyed, plan, "__source", "__block").select(*docs.columns)
+    keyed = docs.select(
+        F.struct("*").alias("row"), source_name(F.col("source")).alias("source"), block_of(F.col("doc_id"), seed).alias("block"))
+    return joined(keyed, plan).select("row.*")

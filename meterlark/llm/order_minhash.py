@@ -241,4 +241,5 @@ def keep_first(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     Rows that share a doc_id are one document and stay or go together; see ``near_duplicates``.
     """
     later = classes_of(docs, least).filter("class < _id").select("_id").distinct()
-    return docs.join(later.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id")
+    return rows.join(later.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_anti").select("row.*")
