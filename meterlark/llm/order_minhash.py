@@ -3,8 +3,8 @@
 A document is the sequence of its five-word shingles, each labelled with its occurrence, so that no two are
 equal (Marcais et al., "Locality-sensitive hashing for the edit distance", 2019). A table of the sketch samples the
 ``SAMPLED`` labelled shingles with the smallest hashes and keeps them in the order of the text; documents that agree
-on one table are candidates. The similarity of two documents is that of their best alignment: matched shingles
-in common order over all shingles of both.
+on one table are candidates. The similarity of two documents is that of their best alignment: distinct shingles matched
+in common order, over the distinct shingles of both.
 """
 
 from __future__ import annotations
@@ -28,12 +28,22 @@ TABLES = 16
 # Documents of a bucket that still belong to several groups are compared with each other up to this size;
 # a larger bucket is first cut by what else its documents agree on.
 COMPARED = 32
+# Two documents that meet in such a larger bucket are compared when at least so many tables agree. Of pairs at 0.8, which agree
+# on 6 or 7 of 16 tables, one in 70 agrees on fewer; at 0.85 one in 3,000.
+AGREEING = 3
+# Documents of a bucket of two tables that is still larger meet so many of its members.
+LEADERS = 3
 
 _SALTS = mix(np.arange(1, TABLES + 1, dtype=U64) * U64(BASES[0])) | U64(1)
 
 
-def labelled(hashes: np.ndarray, k: int = WORDS) -> np.ndarray:
-    """Shingles of one text's word hashes, each made unique by the number of equal ones before it."""
+def labelled(hashes: np.ndarray, k: int = WORDS, repeats: bool = True) -> np.ndarray:
+    """Shingles of one text's word hashes, each made unique by its occurrence: the first, second, fourth, eighth and so on.
+
+    A word repeated for half a text is one shingle hundreds of times. With every occurrence it would outweigh all else, and
+    texts that share nothing but such a run would be alike; with these it weighs as the logarithm of its length. Without
+    ``repeats`` only first occurrences remain.
+    """
     s = shingles(hashes, k)
     order = np.argsort(s, kind="stable")
     ordered = s[order]
@@ -41,9 +51,10 @@ def labelled(hashes: np.ndarray, k: int = WORDS) -> np.ndarray:
     if new.all():
         return mix(s)
     at = np.arange(len(s))
-    occurrence = np.empty(len(s), dtype=U64)
-    occurrence[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(U64)
-    return mix(s + occurrence * U64(BASES[0]))
+    before = np.empty(len(s), dtype=np.int64)
+    before[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    counted = before & (before + 1) == 0 if repeats else before == 0
+    return mix(s[counted] + before[counted].astype(U64) * U64(BASES[0]))
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -58,10 +69,11 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST_SIMILARITY) -> float:
-    """Matched labelled shingles over all, by the longest common order within a band; 0 when ``least`` is out of reach.
+    """Matched shingles of two texts (first occurrences in order) over all, by the longest common order within a band; 0 when
+    ``least`` is out of reach.
 
     Two sequences that reach ``least`` shift no matched shingle by more than (1 - least) of the longer one, so the band loses
-    no alignment that counts. Labelled shingles match at most once, which makes the alignment a longest increasing run.
+    no alignment that counts. First occurrences match at most once, which makes the alignment a longest increasing run.
     """
     if not len(a) or not len(b):
         return 0.0
@@ -88,7 +100,7 @@ SKETCHES = "doc_id long, text_key long, h1 long, h2 long, size int, sketch array
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Digest of the words, number of shingles and sketch of every document that has a doc_id and a word."""
+    """Digest of the words, number of distinct shingles and sketch of every document that has a doc_id and a word."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in buffers(frames):
@@ -100,7 +112,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     s = labelled(own)
                     at = np.arange(1, len(own) + 1, dtype=U64)
                     digest = [int(mix(own * mix(at + U64(b))).sum(dtype=U64).view(np.int64)) for b in (0, BASES[1])]
-                    rows.append((doc_id, key, *digest, len(s), sketch(s).view(np.int64)))
+                    rows.append((doc_id, key, *digest, len(labelled(own, repeats=False)), sketch(s).view(np.int64)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in SKETCHES.split(", ")])
 
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -128,7 +140,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
             one, at_one = Buffer(frame["a_text"].tolist()).word_hashes()
             two, at_two = Buffer(frame["text"].tolist()).word_hashes()
             similar = [
-                similarity(labelled(one[at_one[n] : at_one[n + 1]]), labelled(two[at_two[n] : at_two[n + 1]]), least) >= least
+                similarity(*(labelled(w[at[n] : at[n + 1]], repeats=False) for w, at in ((one, at_one), (two, at_two))), least) >= least
                 for n in range(len(frame))
             ]
             yield frame.loc[similar, ["a", "b"]]
@@ -150,14 +162,18 @@ def reachable(x: str, y: str, least: float):
     return F.least(f"{x}.size", f"{y}.size") >= least * F.greatest(f"{x}.size", f"{y}.size")
 
 
-def star_pairs(members: DataFrame, key: list[str], least: float) -> DataFrame:
-    """Every member (struct ``doc``) of a bucket with one leader of the bucket, chosen by a hash that differs between buckets."""
-    chosen = F.xxhash64(F.col("doc.id"), *key)
+def star_pairs(members: DataFrame, key: list[str], least: float, choice: int = 0) -> DataFrame:
+    """Every member (struct ``doc``) of a bucket with one leader of the bucket, unless both are in one group already.
+
+    The leader is chosen by a hash that differs between buckets and choices.
+    """
+    chosen = F.xxhash64(F.col("doc.id"), F.lit(choice), *key)
+    fields = ("id", "key", "size", "group")
     # Field by field, since sums of plain numbers need no sorting.
     leaders = members.groupBy(*key).agg(
-        *[F.min_by(f"doc.{c}", chosen).alias(f"leader_{c}") for c in ("id", "key", "size")], F.count(F.lit(1)).alias("held")
-    ).filter("held > 1").select(*key, F.struct(*[F.col(f"leader_{c}").alias(c) for c in ("id", "key", "size")]).alias("leader"))
-    met = members.join(leaders, key).filter(F.col("doc.id") != F.col("leader.id")).filter(reachable("doc", "leader", least))
+        *[F.min_by(f"doc.{c}", chosen).alias(f"leader_{c}") for c in fields], F.count(F.lit(1)).alias("held")
+    ).filter("held > 1").select(*key, F.struct(*[F.col(f"leader_{c}").alias(c) for c in fields]).alias("leader"))
+    met = members.join(leaders, key).filter(F.col("doc.group") != F.col("leader.group")).filter(reachable("doc", "leader", least))
     return met.select(*ordered_pair("doc", "leader")).distinct()
 
 
@@ -166,7 +182,7 @@ def remaining_pairs(members: DataFrame, least: float) -> DataFrame:
 
     All such pairs of a bucket of up to ``COMPARED`` documents. The documents of a larger bucket share a sample by
     a passage many texts have; similar ones agree on further tables too, so they meet again in the buckets of two tables, there
-    likewise all with all, or with a leader of the bucket where even two tables bring many together.
+    those that agree on ``AGREEING``, or with ``LEADERS`` of the bucket where even two tables bring many together.
     """
     key = ["table", "value"]
     group = F.col("doc.group")
@@ -175,18 +191,31 @@ def remaining_pairs(members: DataFrame, least: float) -> DataFrame:
         sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("held"), F.min(group).alias("low"), F.max(group).alias("high"))
         return rows.join(sizes.filter("low < high").drop("low", "high"), by)
 
-    def across(rows: DataFrame, by: list[str]) -> DataFrame:
-        other = rows.select(*by, F.col("doc").alias("other"))
-        met = rows.join(other, by).filter((F.col("doc.id") < F.col("other.id")) & (F.col("doc.group") != F.col("other.group")))
-        return met.filter(reachable("doc", "other", least)).select(*ordered_pair("doc", "other"))
+    def across(rows: DataFrame, by: list[str], agreeing: int) -> DataFrame:
+        other = rows.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("doc").alias("other"), F.col("sketch").alias("other_sketch"))
+        on = (F.col("doc.id") < F.col("other.id")) & (F.col("doc.group") != F.col("other.group")) & reachable("doc", "other", least)
+        for c in by:
+            on = on & (F.col(c) == F.col(f"_{c}"))
+        if agreeing > 1:
+            same = F.filter(F.zip_with("sketch", "other_sketch", lambda x, y: x == y), lambda agrees: agrees)
+            on = on & (F.size(same) >= agreeing)
+        return rows.join(other, on).select(*ordered_pair("doc", "other"))
 
     open_ = stage(counted(members, key), "near-open")
     small = open_.filter(F.col("held") <= COMPARED)
     two = key + ["table2", "value2"]
-    large = open_.filter(F.col("held") > COMPARED).select(*key, "doc", F.posexplode("sketch").alias("table2", "value2"))
-    again = stage(counted(large.filter("table2 <> table"), two), "near-open-again")
+    large = open_.filter(F.col("held") > COMPARED).select(*key, "doc", "sketch", F.posexplode("sketch").alias("table2", "value2"))
+    # Named by the smaller table first: two tables make one bucket, also where both of theirs are large.
+    swap = F.col("table2") < F.col("table")
+    named = [F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("table", "table2"), ("value", "value2"))]
+    named += [F.when(swap, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in (("table", "table2"), ("value", "value2"))]
+    both = large.filter("table2 <> table").select(*named, "doc", "sketch").dropDuplicates([*two, "doc"])
+    again = stage(counted(both, two), "near-open-again")
     few, many = again.filter(F.col("held") <= COMPARED), again.filter(F.col("held") > COMPARED)
-    return across(small, key).unionByName(across(few, two)).unionByName(star_pairs(many, two, least)).distinct()
+    pairs = across(small, key, 1).unionByName(across(few, two, AGREEING))
+    for choice in range(LEADERS):
+        pairs = pairs.unionByName(star_pairs(many, two, least, choice))
+    return pairs.distinct()
 
 
 def classes_of(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -195,7 +224,7 @@ def classes_of(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     classes = stage(found.groupBy("h1", "h2").agg(
         F.min("doc_id").alias("rep"), F.min_by("text_key", "doc_id").alias("key"),
         F.first("size").alias("size"), F.first("sketch").alias("sketch")), "near-classes")
-    doc = F.struct(F.col("rep").alias("id"), "key", "size")
+    doc = F.struct(F.col("rep").alias("id"), "key", "size", F.col("rep").alias("group"))
     buckets = classes.select(F.posexplode("sketch").alias("table", "value"), doc.alias("doc"))
     first = stage(verified(star_pairs(buckets, ["table", "value"], least), docs, least), "near-links")
     groups = connected_components(first)

@@ -109,8 +109,8 @@ class Classifier:
 
 
 def fit(texts: list[str], good: np.ndarray) -> Classifier:
-    """Ridge logistic regression by Newton steps."""
-    x = features(texts)
+    """Ridge logistic regression by Newton steps. The features are made a few texts at a time, for the driver's memory."""
+    x = np.concatenate([features(texts[i : i + 64]) for i in range(0, len(texts), 64)])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     wide = Classifier._wide((x - mean) / scale)
     w = np.zeros(wide.shape[1])
