@@ -204,13 +204,11 @@ def remaining_pairs(members: DataFrame, least: float) -> DataFrame:
     open_ = stage(counted(members, key), "near-open")
     small = open_.filter(F.col("held") <= COMPARED)
     two = key + ["table2", "value2"]
-    large = open_.filter(F.col("held") > COMPARED).select(*key, "doc", "sketch", F.posexplode("sketch").alias("table2", "value2"))
-    # Named by the smaller table first: two tables make one bucket, also where both of theirs are large.
-    swap = F.col("table2") < F.col("table")
-    named = [F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("table", "table2"), ("value", "value2"))]
-    named += [F.when(swap, F.col(a)).otherwise(F.col(b)).alias(b) for a, b in (("table", "table2"), ("value", "value2"))]
-    both = large.filter("table2 <> table").select(*named, "doc", "sketch").dropDuplicates([*two, "doc"])
-    again = stage(counted(both, two), "near-open-again")
+    # The pair's first common table decides: where its bucket is small the pair is compared there, where it is large it meets again
+    # by each later table, so earlier ones need not be named.
+    later = F.slice("sketch", F.col("table") + 2, TABLES)
+    large = open_.filter(F.col("held") > COMPARED).select(*key, "doc", "sketch", F.posexplode(later).alias("table2", "value2"))
+    again = stage(counted(large.withColumn("table2", F.col("table") + 1 + F.col("table2")), two), "near-open-again")
     few, many = again.filter(F.col("held") <= COMPARED), again.filter(F.col("held") > COMPARED)
     pairs = across(small, key, 1).unionByName(across(few, two, AGREEING))
     for choice in range(LEADERS):
