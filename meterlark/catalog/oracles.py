@@ -32,7 +32,7 @@ def shown(x: str) -> str:
     return f"coalesce({x}::VARCHAR, 'None')"
 
 
-LAT, LON = params.CITY_LAT, params.CITY_LON
+LAT, LON = (40.4, 41.0), (-74.3, -73.6)
 
 
 def box(end: str) -> str:
@@ -143,6 +143,7 @@ CTES = {
         SELECT q.*, coalesce(q.zone_id, CASE WHEN {P_LAT} IS NOT NULL AND {P_LON} IS NOT NULL THEN
             (SELECT zone_id FROM centroids c ORDER BY (q.{P_LAT} - c.lat) * (q.{P_LAT} - c.lat)
             + ((q.{P_LON} - c.lon) * {FACTOR}) * ((q.{P_LON} - c.lon) * {FACTOR}), zone_id LIMIT 1) END) AS resolved FROM requests q""",
+    "unplaced": "SELECT * FROM located WHERE request_id % 13 <> 0 UNION ALL SELECT * REPLACE (zone_id AS resolved) FROM located WHERE request_id % 13 = 0",
 }
 
 
@@ -209,6 +210,7 @@ for key, rule in (
     ("c6_passengers", "invalid_passenger_count"), ("c7_missing", "missing_critical_values"),
 ):
     oracle(key, f"SELECT '{rule}' AS rule, count(*) AS n FROM trips WHERE {RULES[rule]}")
+oracle("c8_clean_csv", f"SELECT {TRIP_COLUMNS} FROM clean")
 oracle("c8_clean_rows", f"SELECT row_seq, {TRIP_COLUMNS} FROM clean")
 SHARE_REMOVED = "(1.0 - (SELECT count(*) FROM clean) / (SELECT count(*) FROM trips)::DOUBLE)"
 oracle(
@@ -556,6 +558,7 @@ DURATIONS = f"""SELECT request_id, CASE WHEN reason IS NULL THEN {r('guess', 4)}
     {status_of('reason')} AS status, reason FROM (SELECT request_id, {GUESS} AS guess, {FULL_DURATION_REASON} AS reason FROM requests)"""
 oracle("q2_durations", DURATIONS)
 oracle("st2_stream_scores", DURATIONS)
+oracle("q3_nan_requests", f"SELECT request_id, resolved::BIGINT AS pickup_zone, {ZONE_REASON} AS reason FROM unplaced")
 oracle("q3_zone", f"SELECT request_id, resolved::BIGINT AS pickup_zone, {ZONE_REASON} AS reason FROM located")
 
 CTES["back"] = """SELECT request_id, max(CASE WHEN o = 1 THEN c END) AS demand_lag_1h, max(CASE WHEN o = 2 THEN c END) AS demand_lag_2h,

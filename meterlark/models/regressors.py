@@ -103,7 +103,7 @@ def duration_model_set(trees=params.FOREST_TREES, depth=params.FOREST_DEPTH, rou
         "linear_regression": linear(),
         "random_forest": forest(trees, depth, seed),
         "extra_trees": ExtraTrees(trees, depth, seed),
-        "xgboost": boosted(rounds, boost_depth, params.BOOST_RATE, seed),
+        "boosted_trees": boosted(rounds, boost_depth, params.BOOST_RATE, seed),
     }
 
 
@@ -114,7 +114,7 @@ def demand_model_set(trees=params.DEMAND_FOREST_TREES, depth=params.DEMAND_FORES
     return {
         "linear_regression": linear(),
         "random_forest": forest(trees, depth, seed),
-        "xgboost": boosted(rounds, boost_depth, params.BOOST_RATE, seed),
+        "boosted_trees": boosted(rounds, boost_depth, params.BOOST_RATE, seed),
     }
 
 

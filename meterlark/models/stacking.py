@@ -28,7 +28,7 @@ def base_models(
     return {
         "random_forest": forest(trees, depth, seed),
         "extra_trees": ExtraTrees(trees, depth, seed),
-        "xgboost": boosted(rounds, boost_depth, params.BOOST_RATE, seed),
+        "boosted_trees": boosted(rounds, boost_depth, params.BOOST_RATE, seed),
     }
 
 

@@ -15,6 +15,7 @@ from meterlark.operators.splits import sample_rows
 from meterlark.operators.zones import ZoneModel, assign_zone, longitude_factor
 from meterlark.session import stage
 
+# Points of a silhouette unless the caller asks for another number; all of them travel to every task.
 SILHOUETTE_ROWS = 10_000
 
 
@@ -44,16 +45,16 @@ def fit_zones(
     return ZoneModel(tuple((float(c[0]), float(c[1]) / factor) for c in best), factor, float(cost))
 
 
-def silhouette(spark: SparkSession, points: DataFrame, label: str = "pickup_zone") -> float:
+def silhouette(spark: SparkSession, points: DataFrame, label: str = "pickup_zone", most: int = SILHOUETTE_ROWS) -> float:
     """Mean silhouette with plain Euclidean distances over (north, east, label).
 
     Distances from every point to every other are needed, so the operator takes a sample of at most
-    ``SILHOUETTE_ROWS`` points. That sample is what every task receives; distances are added up per
+    ``most`` points. That sample is what every task receives; distances are added up per
     cluster inside the task and never become rows.
     """
-    sample = points.select("north", "east", label).limit(SILHOUETTE_ROWS + 1).toPandas()
-    if len(sample) > SILHOUETTE_ROWS:
-        raise ValueError(f"silhouette takes at most {SILHOUETTE_ROWS} points; sample first")
+    sample = points.select("north", "east", label).limit(most + 1).toPandas()
+    if len(sample) > most:
+        raise ValueError(f"silhouette takes at most {most} points; sample first")
     codes, labels = pd.factorize(sample[label], sort=True)
     if not 2 <= len(labels) < len(sample):
         raise ValueError("a silhouette needs between 2 and n-1 clusters")
@@ -86,12 +87,12 @@ def silhouette(spark: SparkSession, points: DataFrame, label: str = "pickup_zone
 
 def sweep_zones(
     df: DataFrame, k_values: Sequence[int], key: str = "id", sample: int = 100_000, seed: int = params.SEED,
-    inits: int = params.ZONE_INITS, iterations: int = 300,
+    inits: int = params.ZONE_INITS, iterations: int = 300, silhouette_rows: int = SILHOUETTE_ROWS,
 ) -> DataFrame:
-    """(k, inertia, silhouette) on a seeded sample, for choosing the number of zones."""
+    """(k, inertia, silhouette) for choosing the number of zones: fitted on a seeded sample, the silhouette on one of that."""
     spark = df.sparkSession
     drawn = stage(sample_rows(df.select(key, "pickup_latitude", "pickup_longitude"), sample, key, seed), "zone-sample")
-    few = sample_rows(drawn, SILHOUETTE_ROWS, key, seed + 1)
+    few = sample_rows(drawn, silhouette_rows, key, seed + 1)
     rows = []
     for k in k_values:
         zones = fit_zones(drawn, k, seed, inits, iterations)
@@ -100,5 +101,5 @@ def sweep_zones(
             (F.col("pickup_longitude") * F.lit(zones.longitude_factor)).alias("east"),
             "pickup_zone",
         )
-        rows.append((int(k), zones.inertia, silhouette(spark, labelled)))
+        rows.append((int(k), zones.inertia, silhouette(spark, labelled, most=silhouette_rows)))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")

@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterlark import params
 from meterlark.functions.numeric import flag, outside
 from meterlark.functions.temporal import elapsed_seconds
-from meterlark.session import fits_broadcast, stage
-
 Rule = tuple[str, Column]
 
 DUPLICATES = "duplicate_ids"
@@ -62,20 +60,19 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def first_rows(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> DataFrame:
-    """One row per key, the first in ``order_by``, with the number of copies it stands for.
+# Rows without a place come after all others.
+LAST_PLACE = (1 << 63) - 1
+
+
+def row_order(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> Column:
+    """One number that orders the rows of an id: the place first, then the content for rows with equal places.
 
-    An aggregate rather than a ranking window: each task keeps one row per key before the shuffle,
-    so a key held by a third of the table (or by all rows without an id) sends at most one row per
-    task. Null keys equal each other.
+    A decimal of 63 and 60 bits, so that a hash aggregate can take its minimum; only rows that are equal in every
+    column have equal numbers.
     """
-    others = [c for c in df.columns if c != key]
-    firsts = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias(COPIES),
-        F.min_by(F.struct(*others), F.col(order_by)).alias("_row"),
-    )
-    fields = [F.col(c) if c == key else F.col("_row")[c].alias(c) for c in df.columns]
-    return firsts.select(*fields, COPIES)
+    content = F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != order_by]), 4)
+    place = F.coalesce(F.col(order_by), F.lit(LAST_PLACE)).cast("decimal(20,0)")
+    return (place * F.lit(1 << 60).cast("decimal(19,0)")).cast("decimal(38,0)") + content.cast("decimal(20,0)")
 
 
 def with_failed_rule(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
@@ -86,25 +83,30 @@ def with_failed_rule(df: DataFrame, rules: Sequence[Rule] | None = None) -> Data
 
 
 def repeated_ids(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> DataFrame:
-    """(key, first place) of the ids that occur more than once; reads and shuffles two columns."""
+    """(_key, _first) of the ids that occur more than once, with the number of their first row.
+
+    One hash aggregate to two narrow columns, summed per task before the shuffle.
+    """
     per_id = df.groupBy(F.col(key).alias("_key")).agg(
-        F.count(F.lit(1)).alias(COPIES), F.min(order_by).alias("_first")
+        F.count(F.lit(1)).alias(COPIES), F.min(row_order(df, key, order_by)).alias("_first")
     )
     return per_id.filter(F.col(COPIES) > 1).drop(COPIES)
 
 
 def drop_later_copies(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> DataFrame:
-    """Keep the first row of every id.
+    """Keep the first row of every id; null ids equal each other.
 
-    Ids are meant to be unique, so the repeated ones are looked up first, from two columns. When
-    they are proven few, they are broadcast and the trips themselves are never shuffled; otherwise
-    the first rows come from an aggregate over whole rows.
+    ``order_by`` must be frozen: the same number for the same row however often the table is read. Rows without one
+    come last; rows of an id with equal ones are ordered by a hash of their content, and of rows equal in every column one stays.
+
+    Ids are meant to be unique, so the repeated ones are looked up first and meet the rows in a join whose kind adaptive
+    execution chooses, at every size in the same way.
     """
-    repeated = stage(repeated_ids(df, key, order_by), "repeated-ids")
-    if not fits_broadcast(repeated):
-        return first_rows(df, key, order_by).drop(COPIES)
-    marked = df.join(F.broadcast(repeated), F.col(key).eqNullSafe(F.col("_key")), "left")
-    return marked.filter(F.col("_first").isNull() | (F.col(order_by) == F.col("_first"))).select(*df.columns)
+    repeated = repeated_ids(df, key, order_by)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    unique = df.join(repeated.select("_key"), same, "left_anti")
+    firsts = df.withColumn("_order", row_order(df, key, order_by)).join(repeated, same).filter(F.col("_order") == F.col("_first"))
+    return unique.unionByName(firsts.select(*df.columns).distinct())
 
 
 def clean_trips(
@@ -127,26 +129,30 @@ def cleaning_report(
 ) -> DataFrame:
     """One row: rows in, rows removed per rule, rows out, share removed and whether that is a lot.
 
-    Per id only the copies and the first copy's failed rule cross the network, not the trip.
+    Counted over the very rows that ``clean_trips`` decides on, so the report and the table agree.
     """
     rules = default_rules() if rules is None else rules
-    per_id = with_failed_rule(df, rules).groupBy(key).agg(
-        F.count(F.lit(1)).alias(COPIES),
-        F.min_by(FAILED_RULE, order_by).alias(FAILED_RULE),
-    )
-    counts = per_id.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint").alias("rows_initial"),
-        F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).cast("bigint").alias(DUPLICATES),
+    firsts = with_failed_rule(drop_later_copies(df, key, order_by), rules)
+    before = df.select(F.lit(1).alias("before"), F.lit(None).cast("int").alias(FAILED_RULE))
+    both = before.unionByName(firsts.select(F.lit(0).alias("before"), FAILED_RULE))
+    first = F.col("before") == 0
+    counts = both.agg(
+        F.count_if(~first).alias("rows_initial"),
+        (F.count_if(~first) - F.count_if(first)).alias(DUPLICATES),
         *[F.count_if(F.col(FAILED_RULE) == i).alias(name) for i, (name, _) in enumerate(rules, start=1)],
-        F.count_if(F.col(FAILED_RULE).isNull()).alias("rows_final"),
+        F.count_if(first & F.col(FAILED_RULE).isNull()).alias("rows_final"),
     )
     removed = F.col("rows_initial") - F.col("rows_final")
     share = F.try_divide(removed.cast("double"), F.col("rows_initial"))
     return counts.withColumns(
-        {"rows_removed_total": removed, "pct_removed": share, "removal_warning": share > warn_above}
+        {"rows_removed_total": removed, "pct_removed": share, "removal_warning": too_many_removed(share, F.lit(warn_above))}
     )
 
 
+def too_many_removed(share: Column, limit: Column) -> Column:
+    return share > limit
+
+
 def clean_trip_data(df: DataFrame, rules: Sequence[Rule] | None = None) -> tuple[DataFrame, DataFrame]:
     """The cleaned table and its report."""
     return clean_trips(df, rules), cleaning_report(df, rules)

@@ -6,25 +6,16 @@ from collections.abc import Mapping, Sequence
 from itertools import chain
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlark import params
-from meterlark.errors import DataValidationError
 from meterlark.functions.numeric import to_log
 
-MAX_CATEGORIES = 1000
-
-
-def categories(df: DataFrame, column: str, most: int = MAX_CATEGORIES) -> list[str]:
-    """The distinct non-null values in order.
-
-    A column with more than ``most`` values is no category; one extra row is enough to notice.
-    """
-    distinct = df.select(F.col(column).cast("string").alias("v")).filter("v IS NOT NULL").distinct()
-    values = [r["v"] for r in distinct.limit(most + 1).collect()]
-    if len(values) > most:
-        raise DataValidationError(f"column {column!r} has more than {most} values; it is not a category")
-    return sorted(values)
+def category_codes(df: DataFrame, column: str) -> DataFrame:
+    """(value, code): the distinct non-null values, numbered from 0 in order."""
+    values = df.select(F.col(column).cast("string").alias("value")).filter("value IS NOT NULL").distinct()
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("value"))
+    return values.select("value", (place - 1).alias("code"))
 
 
 def mapped_code(column: Column, codes: Mapping) -> Column:
@@ -34,12 +25,17 @@ def mapped_code(column: Column, codes: Mapping) -> Column:
 
 
 def with_category_code(df: DataFrame, column: str, values: Sequence[str] | None = None) -> DataFrame:
-    """Add ``<column>_code``: rank of the value among the sorted categories, -1 for null."""
-    values = categories(df, column) if values is None else list(values)
-    code = F.lit(-1)
-    if values:
-        code = F.coalesce(mapped_code(F.col(column).cast("string"), {v: i for i, v in enumerate(values)}), code)
-    return df.withColumn(f"{column}_code", code)
+    """Add ``<column>_code``: rank of the value among the sorted categories, -1 for null.
+
+    Without given ``values`` the table of all distinct ones, however many, meets the rows in a join.
+    """
+    name, text = f"{column}_code", F.col(column).cast("string")
+    if values is not None:
+        code = mapped_code(text, {v: i for i, v in enumerate(values)}) if values else F.lit(None).cast("int")
+        return df.withColumn(name, F.coalesce(code, F.lit(-1)))
+    codes = category_codes(df, column).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    joined = df.join(codes, text == F.col("_value"), "left")
+    return joined.select(*[c for c in df.columns if c != name], F.coalesce("_code", F.lit(-1)).alias(name))
 
 
 def with_request_codes(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlark import params
 from meterlark.functions.numeric import stable_unit
@@ -31,9 +31,12 @@ def fold_of(key: str, folds: int, seed: int = params.SEED) -> Column:
 
 def cutoff_hour(grid: DataFrame, share: float = params.DEMAND_TEST_SHARE) -> DataFrame:
     """One row with the first test hour: the distinct hours in order, cut at the share."""
-    hours = grid.agg(F.sort_array(F.collect_set("hour")).alias("hours"))
-    place = F.floor(F.size("hours") * F.lit(1 - share)).cast("int")
-    return hours.select(F.try_element_at("hours", place + 1).alias("cutoff"))
+    # One row per distinct hour: a century holds under a million.
+    hours = grid.select("hour").distinct().filter("hour IS NOT NULL")
+    ranked = hours.select(
+        "hour", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("hour")).alias("nth"),
+        F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))).alias("of"))
+    return ranked.filter(F.col("nth") == F.floor(F.col("of") * F.lit(1 - share)) + 1).agg(F.min("hour").alias("cutoff"))
 
 
 def chronological_split(
@@ -50,11 +53,17 @@ def chronological_split(
 def sample_rows(df: DataFrame, n: int, key: str = "id", seed: int = params.SEED) -> DataFrame:
     """Exactly min(n, rows) rows without replacement, the same ones on every run.
 
-    Rows are ranked by the hash of their key. The row count gives a cut that lets through a little
-    more than n rows (ten standard deviations above), so only those are ranked, not the table.
+    Rows are ranked by the hash of their key, rows of one key by their content. The row count gives a cut that lets
+    through a little more than n rows (ten standard deviations above), so only those are ranked, not the table. Where
+    keys repeat, whole keys fall on one side of the cut; it is then widened until enough rows pass.
     """
     total = df.agg(F.count(F.lit(1))).first()[0]
-    enough = n + 10 * math.sqrt(n) + 10
-    drawn = stable_unit(F.col(key), seed)
-    pool = df.filter(drawn < enough / total) if total > enough else df
-    return pool.orderBy(drawn, key).limit(n)
+    share = (n + 10 * math.sqrt(n) + 10) / max(1, total)
+    drawn, pool = stable_unit(F.col(key), seed), df
+    while share < 1:
+        pool = df.filter(drawn < share)
+        if pool.limit(n).count() == n:
+            break
+        share, pool = share * 4, df
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return pool.orderBy(drawn, key, content).limit(n)

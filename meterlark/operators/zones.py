@@ -41,7 +41,7 @@ class ZoneModel:
         return cls(tuple((r["lat"], r["lon"]) for r in rows), longitude_factor)
 
     def nearest(self, lat: str, lon: str) -> Column:
-        """Id of the centroid nearest to two columns, the lowest id on ties; null where one is unknown.
+        """Id of the centroid nearest to two columns, the lowest id on ties; null where one is null, NaN or infinite.
 
         k distances per row: no join and no pairs. Distances are taken on values that cannot be
         null and outside any condition, which keeps the generated code small enough to be compiled
@@ -62,7 +62,9 @@ class ZoneModel:
             points = ", ".join(f"struct({a!r}D AS a, {b!r}D AS b)" for a, b in self.centroids)
             distances = f"transform(array({points}), p -> {distance('p.a', 'p.b')})"
         place = f"cast(array_position({distances}, array_min({distances})) AS int)"
-        return F.expr(f"CASE WHEN {lat} IS NOT NULL AND {lon} IS NOT NULL THEN -1 END + {place}")
+        # A comparison with infinity is null for null and, NaN being above all numbers, false for NaN.
+        known = f"abs({lat}) < double('inf') AND abs({lon}) < double('inf')"
+        return F.expr(f"CASE WHEN {known} THEN -1 END + {place}")
 
 
 def longitude_factor(df: DataFrame, lat: str = "pickup_latitude") -> float:

@@ -19,7 +19,6 @@ from meterlark.operators.demand import request_history
 from meterlark.operators.encoding import with_request_codes, with_zone_dummies
 from meterlark.operators.features import build_features
 from meterlark.operators.zones import ZoneModel
-from meterlark.session import small_side, stage
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -74,8 +73,8 @@ def with_request_demand(
     """Resolve zone and hour, look up the history, and say why a request cannot be served.
 
     Adds ``pickup_zone``, ``target_hour``, the demand features and ``demand_reason``. The history is
-    summarised per zone and hour first; requests meet it in one join, broadcast when it is proven
-    small and shuffled otherwise.
+    summarised per zone and hour first; requests meet it in one join, whose kind adaptive execution chooses by the bytes
+    it finds. Nothing runs while the plan is built.
     """
     target = F.col("target_datetime") if target is None else target
     located = requests.withColumns(
@@ -84,9 +83,8 @@ def with_request_demand(
             "target_hour": floor_hour(target),
         }
     )
-    # Staged: the size check and every micro-batch of a stream then read a small finished table.
-    known = stage(request_history(history, lags, windows), "request-history").withColumnRenamed("zone_id", "pickup_zone")
-    joined = located.join(small_side(known), ["pickup_zone", "target_hour"], "left")
+    known = request_history(history, lags, windows).withColumnRenamed("zone_id", "pickup_zone")
+    joined = located.join(known, ["pickup_zone", "target_hour"], "left")
     # One subquery for the whole table, needed only inside a message.
     spanned = joined.withColumn("_span", rules.history_span(history))
     reason = F.coalesce(
@@ -181,7 +179,7 @@ def score_unified(
     predict_demand: Predictor,
     score_anomaly: Callable[[DataFrame], DataFrame],
     duration_model: str = "stacking_ensemble",
-    demand_model: str = "xgboost",
+    demand_model: str = "boosted_trees",
 ) -> DataFrame:
     """All three components for every request, one nested row each; a failed part never blocks the others."""
     scored = score_durations(requests, predict_duration, duration_model)

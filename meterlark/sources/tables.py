@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from meterlark.errors import DataValidationError
+from meterlark.sources.trips import nan_to_null
 
 REQUEST_SCHEMA = T.StructType(
     [
@@ -46,8 +47,8 @@ def report_json(report: DataFrame) -> DataFrame:
 
 
 def parse_requests(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON texts to request rows; absent fields are null, a text that is no request gives a row of nulls."""
-    return lines.select(F.from_json(F.col(column), REQUEST_SCHEMA).alias("r")).select("r.*")
+    """JSON texts to request rows; absent fields and NaN are null, a text that is no request gives a row of nulls."""
+    return nan_to_null(lines.select(F.from_json(F.col(column), REQUEST_SCHEMA).alias("r")).select("r.*"))
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:

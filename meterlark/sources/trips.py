@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from meterlark import params
 from meterlark.errors import DataValidationError
+from meterlark.session import stage
 
 TRIP_SCHEMA = T.StructType(
     [
@@ -39,20 +40,38 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in doubles}) if doubles else df
 
 
+# Rows of one file or split that a bigint place leaves room for.
+_PLACES = 1 << 40
+
+
+def _numbered(df: DataFrame, groups: DataFrame, *names: str) -> DataFrame:
+    """``df`` with ``_number``, the rank of its group (``names``) among all; there are as many groups as files or splits."""
+    every = groups.select(*names).distinct().withColumn(
+        "_number", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*names)) - 1)
+    return df.join(every, list(names))
+
+
 def with_file_order(df: DataFrame, name: str = "row_seq") -> DataFrame:
-    """Position of each row in its input files: file, start of the split, place within the split.
+    """The place of each row of a Parquet table: its file's rank and its number in that file, as one bigint.
 
-    Within one split the generated id grows with the row, whichever partition reads it; the triple
-    therefore orders rows as the files do and gives "keep the first" a fixed meaning.
+    Both are properties of the files, so the place is the same however a later read cuts them into splits.
     """
-    return df.select(
-        "*",
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias(name),
-    )
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = df.select(F.col("_metadata.file_path").alias("_file"))
+    return _numbered(placed, files, "_file").select(*df.columns, (F.col("_number") * F.lit(_PLACES) + F.col("_row")).alias(name))
+
+
+def staged_with_order(df: DataFrame, name: str = "row_seq") -> DataFrame:
+    """Rows of text files, written once as a stage table together with their place.
+
+    A row of a text file has no number of its own, and the generated one changes when a later read cuts the files
+    otherwise. Within a split it grows with the row; file, start of the split and number order rows as the files do.
+    """
+    written = stage(df.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_row")), "raw-trips")
+    placed = _numbered(written, written, "_file", "_split")
+    return placed.select(*df.columns, (F.col("_number") * F.lit(_PLACES) + F.col("_row")).alias(name))
 
 
 def _existing(reader, path: str) -> DataFrame:
@@ -65,7 +84,7 @@ def _existing(reader, path: str) -> DataFrame:
 
 
 def read_trips_csv(spark: SparkSession, path: str, timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
-    """Trips from CSV files with a header; a value that does not parse fails the job.
+    """Trips from CSV files with a header, with their place in the files frozen; a value that does not parse fails the job.
 
     The header decides which field is which, so columns may come in any order and extra ones stay.
     """
@@ -81,7 +100,7 @@ def read_trips_csv(spark: SparkSession, path: str, timestamp_format: str = "yyyy
         .option("timestampNTZFormat", timestamp_format)
         .csv(path)
     )
-    return nan_to_null(with_file_order(typed))
+    return staged_with_order(nan_to_null(typed))
 
 
 def read_trips_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -57,22 +57,54 @@ def test_null_ids_equal_each_other(spark, trip):
     assert report.first()["duplicate_ids"] == 4
 
 
-def test_one_id_with_a_third_of_the_rows(spark, trip, monkeypatch):
+def test_one_id_with_a_third_of_the_rows(spark, trip):
     base = spark.createDataFrame([trip(0)], RAW).drop("row_seq", "id")
     many = spark.range(30_000).withColumnRenamed("id", "row_seq").join(F.broadcast(base))
     many = many.withColumn("id", F.when(F.col("row_seq") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), "row_seq")))
     row = cleaning.cleaning_report(many).first()
     assert (row["rows_initial"], row["duplicate_ids"], row["rows_final"]) == (30_000, 9_999, 20_001)
-    # Few repeated ids: the trips are not shuffled at all.
     kept = cleaning.clean_trips(many)
     plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and kept.count() == 20_001
-    # Many: before the shuffle a task holds one row per id, so the hot id cannot pile up in one place.
-    monkeypatch.setattr(cleaning, "fits_broadcast", lambda df: False)
-    other = cleaning.clean_trips(many)
-    plan = other._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and "Window" not in plan
-    assert other.exceptAll(kept).count() == 0 and other.count() == 20_001
+    # Ids are summed per task before they are shuffled, with hash aggregates only.
+    assert "partial_min" in plan and "SortAggregate" not in plan and "Window" not in plan
+    assert kept.count() == 20_001 and kept.filter("id = 'hot'").first()["row_seq"] == 0
+
+
+def test_equal_and_missing_places(spark, trip):
+    rows = [trip(1, id="a", vendor_id="2"), trip(1, id="a"), trip(1, id="a"), trip(None, id="b"), trip(5, id="b"), trip(None, id="c"), trip(None, id="c")]
+    rows += [trip(None, id=None), trip(7, id=None)]
+    df = spark.createDataFrame(rows, RAW)
+    for parts in (1, 5):
+        kept, report = cleaning.clean_trip_data(df.repartition(parts))
+        found = {r["id"]: (r["row_seq"], r["vendor_id"]) for r in kept.collect()}
+        assert kept.count() == 4 and found["b"] == (5, "1") and found["c"] == (None, "1") and found[None] == (7, "1")
+        assert found["a"] == next(iter({found["a"]} & {(1, "1"), (1, "2")}))
+        assert (report.first()["duplicate_ids"], report.first()["rows_final"]) == (5, 4)
+
+
+def test_files_keep_their_order_however_they_are_split(spark, trip, tmp_path):
+    """Every id exactly once, from CSV and Parquet, when splits change between building and running the plan."""
+    from meterlark.sources import trips as files
+
+    rows = [trip(i, id=f"t{i % 400}", passenger_count=1 + (i >= 400)) for i in range(1200)]
+    df = spark.createDataFrame(rows, RAW).drop("row_seq").coalesce(1)
+    df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{tmp_path}/csv")
+    df.write.option("maxRecordsPerFile", 500).parquet(f"{tmp_path}/parquet")
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    try:
+        for read, kind in ((files.read_trips_csv, "csv"), (files.read_trips_parquet, "parquet")):
+            spark.conf.set(size, "100000000")
+            raw = read(spark, f"{tmp_path}/{kind}")
+            kept, report = cleaning.clean_trip_data(raw)
+            assert "SortAggregate" not in kept._jdf.queryExecution().executedPlan().toString()
+            spark.conf.set(size, "4000")
+            found = cleaning.clean_trips(raw).select("id", "passenger_count").collect()
+            assert sorted(r["id"] for r in found) == sorted(f"t{i}" for i in range(400))
+            assert {r["passenger_count"] for r in found} == {1}
+            assert kept.count() == 400 == report.first()["rows_final"]
+    finally:
+        spark.conf.set(size, before)
 
 
 def test_same_result_on_any_partitioning(spark, sf_dir):

@@ -23,7 +23,7 @@ def test_from_raw_trips_to_unified_scores(spark, sf_dir, tmp_path):
     jobs.train_durations(
         spark, work, {"linear_regression": regressors.linear(), "extra_trees": ExtraTrees(2, 2)}, base_models(2, 2, 2, 2)
     )
-    jobs.train_demand(spark, work, {"linear_regression": regressors.linear(), "xgboost": regressors.boosted(2, 2)}, 6)
+    jobs.train_demand(spark, work, {"linear_regression": regressors.linear(), "boosted_trees": regressors.boosted(2, 2)}, 6)
     detector = jobs.train_anomalies(spark, work, n_trees=10)
 
     saved = read_metric_table(spark, f"{work}/models/duration_comparison", "train_durations")
@@ -34,7 +34,7 @@ def test_from_raw_trips_to_unified_scores(spark, sf_dir, tmp_path):
     assert not tables["drift"].first()["drifted"] and tables["residuals"].count() == 50
 
     demand_saved = read_metric_table(spark, f"{work}/models/demand_comparison", "train_demand")
-    demand_models = {n: load_model(spark, f"{work}/models/demand/{n}") for n in ("linear_regression", "xgboost")}
+    demand_models = {n: load_model(spark, f"{work}/models/demand/{n}") for n in ("linear_regression", "boosted_trees")}
     history = read_stage(spark, f"{work}/demand_hourly")
     demand_tables = report.evaluate_demand(history, demand_saved, demand_models, 6, sample=40)
     assert not demand_tables["drift"].first()["drifted"]
@@ -47,7 +47,7 @@ def test_from_raw_trips_to_unified_scores(spark, sf_dir, tmp_path):
     counts = history.select("pickup_zone", "hour", "pickup_count")
 
     def score(df):
-        return scoring.score_unified(df, zones, counts, models["stacking_ensemble"], demand_models["xgboost"], detector.score)
+        return scoring.score_unified(df, zones, counts, models["stacking_ensemble"], demand_models["boosted_trees"], detector.score)
 
     requests = requests_from_trips(raw)
     batch = score(requests)

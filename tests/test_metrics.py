@@ -48,3 +48,25 @@ def test_drift(spark):
     saved = spark.createDataFrame(TABLE, SCHEMA)
     fresh = spark.createDataFrame([("a", 1.0, 3.05, 0.1, 0.5), ("b", 2.0, 2.2, 0.2, 0.9)], SCHEMA)
     assert {r["model"]: r["drifted"] for r in metrics.drift(saved, fresh, 0.1).collect()} == {"a": False, "b": True}
+
+
+def test_samples_are_exact_when_keys_repeat(spark):
+    from pyspark.sql import functions as F
+
+    from meterlark.operators.splits import sample_rows
+
+    df = spark.range(20_000).select(F.when(F.col("id") % 100 == 0, F.col("id")).alias("key"), F.col("id").alias("row_seq"))
+    for n in (0, 500, 5_000, 30_000):
+        one, two = sample_rows(df, n, "key"), sample_rows(df.repartition(7), n, "key")
+        assert one.count() == min(n, 20_000) and one.distinct().count() == one.count()
+        assert one.exceptAll(two).count() == 0
+
+
+def test_any_number_of_categories_gets_codes(spark):
+    from pyspark.sql import functions as F
+
+    from meterlark.operators.encoding import with_category_code
+
+    df = spark.range(3_000).select("id", F.when(F.col("id") < 2_500, F.format_string("v%05d", F.col("id") % 1_500)).alias("c"))
+    rows = with_category_code(df, "c").collect()
+    assert all(r["c_code"] == (r["id"] % 1_500 if r["id"] < 2_500 else -1) for r in rows)

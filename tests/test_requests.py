@@ -158,11 +158,3 @@ def test_duration_scorer_defaults_the_flag(spark):
 def test_unfitted_detector_is_refused(spark):
     with pytest.raises(ModelNotFittedError):
         IsolationForest().score(spark.range(1))
-
-
-def test_large_history_is_not_broadcast(spark, monkeypatch):
-    from meterlark import session
-
-    small = spark.range(10)
-    assert "broadcast" in session.small_side(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in session.small_side(small, 9)._jdf.queryExecution().logical().toString().lower()
