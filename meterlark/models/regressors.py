@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from meterlark import params
 from meterlark.functions.numeric import from_log
 from meterlark.operators.encoding import assemble, demand_feature_columns, zone_dummies
-from meterlark.operators.metrics import mape_nonzero, regression_metrics
+from meterlark.operators.metrics import regression_metrics
 from meterlark.session import ensure_checkpoints
 
 FEATURES = "features"
@@ -88,10 +88,7 @@ def train_and_evaluate(
     """Fit on the log target, score against the raw one: (fitted model, one metric row)."""
     fitted = fit(estimator, train, columns)
     scored = predictions(fitted, test, name, floor)
-    row = regression_metrics(scored)
-    if nonzero:
-        row = row.join(mape_nonzero(scored), "model")
-    return fitted, row
+    return fitted, regression_metrics(scored, nonzero=nonzero)
 
 
 def duration_model_set(trees=params.FOREST_TREES, depth=params.FOREST_DEPTH, rounds=params.BOOST_ROUNDS,

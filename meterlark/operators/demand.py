@@ -37,6 +37,8 @@ def dense_grid(counts: DataFrame, n_zones: int = params.N_ZONES) -> DataFrame:
     return (
         span.filter("first IS NOT NULL")
         .select(F.explode(hourly_range(F.col("first"), F.col("last"))).alias("hour"))
+        # The hours come from one row; dealt out, so that a long span times the zones is not one task's work.
+        .repartition("hour")
         .select(F.explode(F.sequence(F.lit(0), F.lit(n_zones - 1))).alias("pickup_zone"), "hour")
     )
 

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlark import params
 from meterlark.operators.splits import sample_rows
 
 
-def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
-    """One row per group: mae, rmse, mape, r2, n. One aggregate, combined before the shuffle.
+def _nonzero_error() -> Column:
+    y = F.col("y_true")
+    return F.avg(F.when(y != 0, F.abs(F.try_divide(y - F.col("y_pred"), y)))).alias("mape_nonzero_only")
+
+
+def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("model",), nonzero: bool = False) -> DataFrame:
+    """One row per group: mae, rmse, mape, r2, n and, with ``nonzero``, mape_nonzero_only. One aggregate, combined before the shuffle.
 
     Percentage errors divide by at least the machine epsilon; a constant truth gives r2 1 when met
     exactly, else 0. Truth and prediction sit on one row, so their lengths cannot differ.
@@ -25,14 +30,13 @@ def regression_metrics(predictions: DataFrame, by: Sequence[str] = ("model",)) -
         F.avg(F.abs(error) / F.greatest(F.abs(y), F.lit(params.MAPE_FLOOR))).alias("mape"),
         r2.alias("r2"),
         F.count(F.lit(1)).alias("n"),
+        *([_nonzero_error()] if nonzero else []),
     )
 
 
 def mape_nonzero(predictions: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Percentage error over rows whose truth is not zero; null when all are."""
-    y = F.col("y_true")
-    error = F.abs(F.try_divide(y - F.col("y_pred"), y))
-    return predictions.groupBy(*by).agg(F.avg(F.when(y != 0, error)).alias("mape_nonzero_only"))
+    return predictions.groupBy(*by).agg(_nonzero_error())
 
 
 def zero_share(df: DataFrame, column: str = "pickup_count") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from meterlark.operators.demand import demand_dataset
 from meterlark.operators.encoding import demand_matrix, duration_matrix
 from meterlark.operators.features import build_features, require_usable
 from meterlark.operators.splits import chronological_split, random_split
-from meterlark.operators.zones import assign_zone, zone_sizes
+from meterlark.operators.zones import ZoneModel, assign_zone, zone_sizes
+from meterlark.plans import report as evaluation
+from meterlark.plans.scoring import score_unified
 from meterlark.session import stage
 from meterlark.sources.models import load_model, save_model
 from meterlark.sources.tables import read_metric_table, report_json, write_csv
@@ -99,3 +102,53 @@ def train_anomalies(spark: SparkSession, work: str, **settings: Any) -> Isolatio
     write_csv(flagged_summary(scored), f"{work}/reports/flagged_summary")
     write_csv(top_anomalies(scored), f"{work}/reports/top_20_flagged_trips")
     return detector
+
+
+DURATION_TABLE, DEMAND_TABLE = "models/duration_comparison", "models/demand_comparison"
+
+
+def load_scorer(spark: SparkSession, work: str, duration_model: str = "stacking_ensemble") -> Callable[[DataFrame], DataFrame]:
+    """The unified scorer over everything the training jobs left under ``work``; batch and streaming alike.
+
+    The demand model is the one with the lowest RMSE of the comparison; a missing table names the job that makes it.
+    """
+    zones = load_model(spark, f"{work}/models/zones", ZoneModel)
+    demand_name = evaluation.winner_name(read_metric_table(spark, f"{work}/{DEMAND_TABLE}", "train_demand"))
+    durations = load_model(spark, f"{work}/models/duration/{duration_model}")
+    demand = load_model(spark, f"{work}/models/demand/{demand_name}")
+    detector = load_model(spark, f"{work}/models/anomaly", IsolationForest)
+    history = read_stage(spark, f"{work}/demand_hourly").select("pickup_zone", "hour", "pickup_count")
+
+    def score(requests: DataFrame) -> DataFrame:
+        return score_unified(requests, zones, history, durations, demand, detector.score, duration_model, demand_name)
+
+    return score
+
+
+def score_requests(spark: SparkSession, work: str, requests: DataFrame, name: str = "scored_requests") -> DataFrame:
+    """Score a table of requests with the saved models and write the result as ``name``."""
+    write_stage(load_scorer(spark, work)(requests), f"{work}/{name}")
+    return read_stage(spark, f"{work}/{name}")
+
+
+def report(spark: SparkSession, work: str, n_zones: int = params.N_ZONES, sample: int = 50_000) -> None:
+    """Re-evaluate both winners on their test parts and write the tables of the report under ``reports``.
+
+    ``pipeline_metrics`` (the summary lines), and for duration and demand ``drift``, ``ranking`` and ``residual_sample``.
+    """
+    saved = {
+        "duration": stage(read_metric_table(spark, f"{work}/{DURATION_TABLE}", "train_durations"), "duration-table"),
+        "demand": stage(read_metric_table(spark, f"{work}/{DEMAND_TABLE}", "train_demand"), "demand-table"),
+    }
+    models = {kind: {(n := evaluation.winner_name(table)): load_model(spark, f"{work}/models/{kind}/{n}")} for kind, table in saved.items()}
+    matrix = duration_matrix(read_stage(spark, f"{work}/train_features"))
+    history = read_stage(spark, f"{work}/demand_hourly")
+    tables = {
+        "duration": evaluation.evaluate_duration(matrix, saved["duration"], models["duration"], sample),
+        "demand": evaluation.evaluate_demand(history, saved["demand"], models["demand"], n_zones, sample),
+    }
+    for kind, made in tables.items():
+        write_csv(made["drift"], f"{work}/reports/{kind}_drift")
+        write_csv(made["ranking"], f"{work}/reports/{kind}_ranking")
+        write_stage(made["residuals"], f"{work}/reports/{kind}_residual_sample")
+    write_csv(evaluation.summary(saved["duration"].orderBy("rmse", "model").limit(1), saved["demand"].orderBy("rmse", "model").limit(1)), f"{work}/reports/pipeline_metrics")

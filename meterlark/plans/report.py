@@ -20,9 +20,7 @@ def evaluate(test_predictions: DataFrame, saved: DataFrame, tolerance: float, no
     Returns the tables behind the report: winner, recomputed metrics, drift, ranking by RMSE,
     residuals and the common axis range.
     """
-    recomputed = metrics.regression_metrics(test_predictions)
-    if nonzero:
-        recomputed = recomputed.join(metrics.mape_nonzero(test_predictions), "model")
+    recomputed = metrics.regression_metrics(test_predictions, nonzero=nonzero)
     return {
         "winner": metrics.best_model(saved),
         "recomputed": recomputed,

@@ -55,6 +55,16 @@ def test_from_raw_trips_to_unified_scores(spark, sf_dir, tmp_path):
     assert batch.filter("duration IS NOT NULL").count() > 900 and batch.filter("anomaly IS NOT NULL").count() > 300
     assert batch.filter("duration.predicted_duration_seconds < 10").count() == 0
 
+    # The same from the saved artifacts alone, with the demand model that won.
+    again = jobs.score_requests(spark, work, requests)
+    parts = ["request_id", "request_mode", "duration", "anomaly"]
+    assert again.select(parts).exceptAll(batch.select(parts)).count() == 0 and again.count() == 1000
+    jobs.report(spark, work, 6, sample=30)
+    assert read_stage(spark, f"{work}/reports/demand_residual_sample").count() == 30
+    assert spark.read.option("header", True).csv(f"{work}/reports/pipeline_metrics").count() == 7
+    drift = spark.read.option("header", True).csv(f"{work}/reports/duration_drift").first()
+    assert drift["drifted"] == "false"
+
     requests.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(requests.schema).parquet(str(tmp_path / "in"))
     score_stream(stream, score, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
