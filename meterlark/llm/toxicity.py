@@ -6,6 +6,7 @@ document toxic (multiple instances): first by word evidence, then by the network
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -266,26 +267,24 @@ def calibrate(logit: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple
     return max(float(b[0]), 0.05), float(b[1])
 
 
-def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
-    """Texts and labels of at most ``size`` toxic documents and ``CLEAN_PER_TOXIC`` times as many clean ones outside the
-    held-out fold, and the share of toxic ones among all.
+def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
+    """(doc_id, text, place, toxic, share): at most ``size`` toxic documents and ``CLEAN_PER_TOXIC`` times as many clean ones outside the
+    held-out fold, with the share of toxic ones among all.
 
     Chosen by a hash of the id among the labelled rows; a document with two labels counts by the larger one.
     """
     learnt = labels.filter(fold(F.col("doc_id")) != 0).filter("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = dict(learnt.groupBy("toxic").count().collect())
     # Twice the bound of ids are looked up, since some are absent from the documents or too long for the sample.
-    order = F.xxhash64("doc_id")
-    most = {0: CLEAN_PER_TOXIC * size, 1: size}
-    ids = {t: learnt.filter(F.col("toxic") == t).orderBy(order, "doc_id").limit(2 * n) for t, n in most.items()}
+    order, most = F.xxhash64("doc_id"), {0: CLEAN_PER_TOXIC * size, 1: size}
     held = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= LONGEST_SAMPLED)
     parts = []
     for t, n in most.items():
+        ids = learnt.filter(F.col("toxic") == t).orderBy(order, "doc_id").limit(2 * n)
         # A broadcast of at most 2 * n rows of two numbers each.
-        parts.append(held.join(F.broadcast(ids[t]), "doc_id").orderBy(order, "doc_id", "text").limit(n).toPandas())
-    rows = pd.concat(parts)
-    total = sum(sizes.values())
-    return rows["text"].tolist(), rows["toxic"].to_numpy(dtype=np.int64), sizes.get(1, 0) / total if total else 0.0
+        parts.append(held.join(F.broadcast(ids), "doc_id").orderBy(order, "doc_id", "text").limit(n))
+    share = sizes.get(1, 0) / max(1, sum(sizes.values()))
+    return parts[0].unionByName(parts[1]).select("doc_id", "text", order.alias("place"), F.col("toxic").cast("long").alias("toxic"), F.lit(share).alias("share"))
 
 
 SCORES = "doc_id long, held_out boolean, score double, predicted int"
@@ -317,11 +316,21 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:
-    """A model from labelled documents, or None when one of the two labels is missing."""
-    texts, toxic, share = sample(docs, labels, size)
-    if len(set(toxic.tolist())) < 2:
-        return None
-    return train(texts, toxic, share)
+    """A model from labelled documents, or None when one of the two labels is missing.
+
+    The bounded sample is learnt from in one task, so the texts and the training need no memory of the driver; it receives the
+    parameters only. A retried task gives the same model.
+    """
+
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["toxic", "place", "doc_id", "text"])
+        toxic = rows["toxic"].to_numpy(dtype=np.int64)
+        made = [pickle.dumps(train(rows["text"].tolist(), toxic, rows["share"].iloc[0]))] if 0 < toxic.sum() < len(toxic) else []
+        return pd.DataFrame({"model": pd.Series(made, dtype=object)})
+
+    chosen = sample(docs, labels, size).withColumn("one", F.lit(0))
+    found = chosen.groupBy("one").applyInPandas(learn, "model binary").first()
+    return None if found is None else pickle.loads(found["model"])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
