@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from meterlark.session import local_session  # noqa: E402
+from trip_rows import RAW  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,13 +22,6 @@ def sf_dir():
     return "/root/testdata/sf0.001"
 
 
-RAW = (
-    "row_seq bigint, id string, vendor_id string, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, "
-    "passenger_count int, pickup_longitude double, pickup_latitude double, dropoff_longitude double, "
-    "dropoff_latitude double, store_and_fwd_flag string, trip_duration int"
-)
-
-
 @pytest.fixture(scope="session")
 def trip():
     """One plausible trip as a tuple; keyword arguments replace fields."""

@@ -2,7 +2,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from conftest import RAW
+from trip_rows import RAW
 from meterlark.operators import cleaning
 
 AT = datetime(2024, 1, 1, 8, 30)

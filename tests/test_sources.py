@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import RAW
+from trip_rows import RAW
 from meterlark.errors import DataValidationError
 from meterlark.operators import cleaning
 from meterlark.sources import tables, trips
