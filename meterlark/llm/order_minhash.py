@@ -9,6 +9,7 @@ in common order, over the distinct shingles of both.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -25,14 +26,13 @@ LEAST_SIMILARITY = 0.8
 # A table agrees for about similarity ** SAMPLED of all pairs: of pairs at 0.8 one in 6,000 agrees in none of 16 tables.
 SAMPLED = 4
 TABLES = 16
-# Documents of a bucket that still belong to several groups are compared with each other up to this size;
-# a larger bucket is first cut by what else its documents agree on.
+# Documents of a bucket that still belong to several groups are joined pair by pair up to this size;
+# a larger bucket is compared whole, two blocks at a time, of about so many documents and distinct shingles each.
 COMPARED = 32
-# Two documents that meet in such a larger bucket are compared when at least so many tables agree. Of pairs at 0.8, which agree
-# on 6 or 7 of 16 tables, one in 70 agrees on fewer; at 0.85 one in 3,000.
-AGREEING = 3
-# Documents of a bucket of two tables that is still larger meet so many of its members.
-LEADERS = 3
+BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
+# Shingles counted by one matrix product.
+COUNTED = 4096
 
 _SALTS = mix(np.arange(1, TABLES + 1, dtype=U64) * U64(BASES[0])) | U64(1)
 
@@ -119,6 +119,15 @@ def sketches(docs: DataFrame) -> DataFrame:
     return small_batches(docs).filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text")).mapInPandas(run, SKETCHES)
 
 
+def texts_of(wanted: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """(id, key, text) of the wanted (id, key), fetched once into a stage table of that name."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    # The ids are the few, and build the hash side: texts are shuffled once and never sorted. Rows that repeat a document hold one
+    # text: one of them answers.
+    return stage(texts.join(wanted.distinct().hint("shuffle_hash"), ["id", "key"]).groupBy("id", "key").agg(F.first("text").alias("text")), name)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """(a, b) of the candidate pairs (a, a_key, b, b_key) that are similar enough.
 
@@ -126,12 +135,8 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
     """
     pairs = stage(pairs, "near-pairs")
     wanted = pairs.select(F.col("a").alias("id"), F.col("a_key").alias("key")).unionByName(
-        pairs.select(F.col("b").alias("id"), F.col("b_key").alias("key"))).distinct()
-    text = F.coalesce(F.col("text"), F.lit(""))
-    texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    # The ids are the few, and build the hash side: texts are shuffled once and never sorted. Rows that repeat a document hold one
-    # text: one of them answers.
-    held = stage(texts.join(wanted.hint("shuffle_hash"), ["id", "key"]).groupBy("id", "key").agg(F.first("text").alias("text")), "near-texts")
+        pairs.select(F.col("b").alias("id"), F.col("b_key").alias("key")))
+    held = texts_of(wanted, docs, "near-texts")
     left = held.select(F.col("id").alias("a"), F.col("key").alias("a_key"), F.col("text").alias("a_text"))
     right = held.select(F.col("id").alias("b"), F.col("key").alias("b_key"), F.col("text").alias("text"))
 
@@ -177,43 +182,116 @@ def star_pairs(members: DataFrame, key: list[str], least: float, choice: int = 0
     return met.select(*ordered_pair("doc", "leader")).distinct()
 
 
-def remaining_pairs(members: DataFrame, least: float) -> DataFrame:
-    """Pairs of members (table, value, doc, sketch) of the same bucket that belong to different groups so far.
-
-    All such pairs of a bucket of up to ``COMPARED`` documents. The documents of a larger bucket share a sample by
-    a passage many texts have; similar ones agree on further tables too, so they meet again in the buckets of two tables, there
-    those that agree on ``AGREEING``, or with ``LEADERS`` of the bucket where even two tables bring many together.
+def remaining(members: DataFrame) -> DataFrame:
+    """Members (table, value, doc) of the buckets whose documents belong to different groups so far, with the bucket's size."""
+    key, group = ["table", "value"], F.col("doc.group")
+    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("held"), F.min(group).alias("low"), F.max(group).alias("high"))
+    return members.join(sizes.filter("low < high").drop("low", "high"), key)
+
+
+def small_pairs(members: DataFrame, least: float) -> DataFrame:
+    """All pairs of ``remaining`` members of a bucket of up to ``COMPARED`` documents that belong to different groups."""
+    rows = members.filter(F.col("held") <= COMPARED).select("table", "value", "doc")
+    other = rows.select(F.col("table").alias("_table"), F.col("value").alias("_value"), F.col("doc").alias("other"))
+    on = (F.col("table") == F.col("_table")) & (F.col("value") == F.col("_value")) & (F.col("doc.id") < F.col("other.id"))
+    on = on & (F.col("doc.group") != F.col("other.group")) & reachable("doc", "other", least)
+    return rows.join(other, on).select(*ordered_pair("doc", "other")).distinct()
+
+
+def common(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray:
+    """How many shingles each text of one list shares with each of the other, or of the same list without another."""
+    sides = [left] if right is None else [left, right]
+    every = [np.concatenate(x) for x in sides]
+    if right is None:
+        found, counts = np.unique(every[0], return_counts=True)
+        shared = found[counts > 1]
+    else:
+        shared = np.intersect1d(*every)
+    placed = []
+    for x, hashes in zip(sides, every):
+        at, text = np.searchsorted(shared, hashes), np.repeat(np.arange(len(x)), [len(t) for t in x])
+        held = at < len(shared)
+        held[held] = shared[at[held]] == hashes[held]
+        at, text = at[held], text[held]
+        order = np.argsort(at, kind="stable")
+        placed.append((at[order], text[order]))
+    out = np.zeros((len(left), len(sides[-1])))
+    for begin in range(0, len(shared), COUNTED):
+        ones = []
+        for x, (at, text) in zip(sides, placed):
+            low, high = np.searchsorted(at, [begin, begin + COUNTED])
+            ones.append(np.zeros((len(x), min(COUNTED, len(shared) - begin)), dtype=np.float32))
+            ones[-1][text[low:high], at[low:high] - begin] = 1
+        out += ones[0] @ ones[-1].T  # every product is a whole number of at most COUNTED: exact
+    return out
+
+
+def compared(frame: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Similar pairs (a, b) of one pair of blocks that connect all groups which any of its similar pairs connects.
+
+    Rows of ``frame`` on side 0 meet those on side 1; a block that meets itself has side 0 only. The set similarity is never below
+    that of the alignment, so only pairs that reach ``least`` by it are aligned.
+    """
+    words, place = Buffer(frame["text"].tolist()).word_hashes()
+    texts = [labelled(words[place[n] : place[n + 1]], repeats=False) for n in range(len(frame))]
+    side, sizes = frame["side"].to_numpy(), np.array([len(t) for t in texts])
+    ids, groups, home = frame["id"].to_numpy(), frame["group"].to_numpy(), frame["home"].to_numpy(dtype=bool)
+    same = bool(frame["own"].iloc[0] == frame["other"].iloc[0])
+    x = np.flatnonzero(side == 0)
+    y = x if same else np.flatnonzero(side == 1)
+    links: list[tuple[int, int]] = []
+    if len(x) and len(y):
+        shared = common([texts[n] for n in x], None if same else [texts[n] for n in y])
+        near = shared / (sizes[x][:, None] + sizes[y] - shared) >= least
+        # Two documents that are both guests of a window meet in their own.
+        near &= (groups[x][:, None] != groups[y]) & (home[x][:, None] | home[y])
+        i, j = np.nonzero(np.triu(near, 1) if same else near)
+        root: dict[int, int] = {}
+
+        def find(n: int) -> int:
+            while n in root:
+                n = root[n]
+            return n
+
+        for p, q in zip(x[i].tolist(), y[j].tolist()):
+            one, two = find(int(groups[p])), find(int(groups[q]))
+            if one != two and similarity(texts[p], texts[q], least) >= least:
+                root[max(one, two)] = min(one, two)
+                links.append((ids[p], ids[q]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def large_links(members: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """Similar pairs (a, b) of ``remaining`` members of a bucket of more than ``COMPARED`` documents, whole: enough of them to
+    connect all groups that its similar pairs connect.
+
+    Lengths that rule a similarity out are never compared: documents go into bands of lengths so wide that similar ones are in one
+    band or in neighbours, and a window is a band with the one below it as guests. A window is cut into blocks by a hash; every
+    two blocks meet in a task of their own, so that a window of any size is compared whole.
     """
-    key = ["table", "value"]
-    group = F.col("doc.group")
-
-    def counted(rows: DataFrame, by: list[str]) -> DataFrame:
-        sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("held"), F.min(group).alias("low"), F.max(group).alias("high"))
-        return rows.join(sizes.filter("low < high").drop("low", "high"), by)
-
-    def across(rows: DataFrame, by: list[str], agreeing: int) -> DataFrame:
-        other = rows.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("doc").alias("other"), F.col("sketch").alias("other_sketch"))
-        on = (F.col("doc.id") < F.col("other.id")) & (F.col("doc.group") != F.col("other.group")) & reachable("doc", "other", least)
-        for c in by:
-            on = on & (F.col(c) == F.col(f"_{c}"))
-        if agreeing > 1:
-            same = F.filter(F.zip_with("sketch", "other_sketch", lambda x, y: x == y), lambda agrees: agrees)
-            on = on & (F.size(same) >= agreeing)
-        return rows.join(other, on).select(*ordered_pair("doc", "other"))
-
-    open_ = stage(counted(members, key), "near-open")
-    small = open_.filter(F.col("held") <= COMPARED)
-    two = key + ["table2", "value2"]
-    # The pair's first common table decides: where its bucket is small the pair is compared there, where it is large it meets again
-    # by each later table, so earlier ones need not be named.
-    later = F.slice("sketch", F.col("table") + 2, TABLES)
-    large = open_.filter(F.col("held") > COMPARED).select(*key, "doc", "sketch", F.posexplode(later).alias("table2", "value2"))
-    again = stage(counted(large.withColumn("table2", F.col("table") + 1 + F.col("table2")), two), "near-open-again")
-    few, many = again.filter(F.col("held") <= COMPARED), again.filter(F.col("held") > COMPARED)
-    pairs = across(small, key, 1).unionByName(across(few, two, AGREEING))
-    for choice in range(LEADERS):
-        pairs = pairs.unionByName(star_pairs(many, two, least, choice))
-    return pairs.distinct()
+    key = ["table", "value", "window"]
+    width = -math.log(least) * (1 + 1e-9) + 1e-12
+    band = F.floor(F.log("doc.size") / width)
+    windows = F.array(*[F.struct((band + n).alias("window"), F.lit(n == 0).alias("home")) for n in (0, 1)])
+    rows = members.filter(F.col("held") > COMPARED).select("table", "value", "doc.*", F.explode(windows).alias("w")).select(
+        "table", "value", "id", F.col("key").alias("text_key"), "size", "group", "w.*")
+    counted = rows.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("held"), F.sum("size").alias("sizes"), F.max("home").alias("homes"),
+        F.min("group").alias("low"), F.max("group").alias("high")).filter("homes AND low < high")
+    blocks = F.greatest(F.ceil(F.col("held") / BLOCK), F.ceil(F.col("sizes") / BLOCK_SHINGLES)).cast("int")
+    cut = rows.join(counted.select(*key, blocks.alias("blocks")), key)
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # Block i meets itself and every later one: as side 0 under (i, j >= i), as side 1 under (j < i, i).
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
+        F.least("block", k).alias("own"), F.greatest("block", k).alias("other"), F.when(k >= F.col("block"), 0).otherwise(1).alias("side")))
+    cut = stage(cut, "near-blocks")
+    texts = texts_of(cut.select("id", F.col("text_key").alias("key")), docs, "near-block-texts").withColumnRenamed("key", "text_key")
+    dealt = cut.withColumn("m", F.explode(meets)).select(*key, "id", "text_key", "group", "home", "m.*")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        return compared(frame, least)
+
+    return small_batches(dealt.join(texts, ["id", "text_key"])).groupBy(*key, "own", "other").applyInPandas(run, "a long, b long")
 
 
 def classes_of(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -228,8 +306,8 @@ def classes_of(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     groups = connected_components(first)
     known = classes.join(groups, F.col("rep") == F.col("id"), "left").drop("id").withColumn(
         "doc", F.struct(F.col("rep").alias("id"), "key", "size", F.coalesce("component", "rep").alias("group")))
-    members = known.select("doc", "sketch", F.posexplode("sketch").alias("table", "value"))
-    second = verified(remaining_pairs(members, least), docs, least)
+    members = stage(remaining(known.select("doc", F.posexplode("sketch").alias("table", "value"))), "near-open")
+    second = verified(small_pairs(members, least), docs, least).unionByName(large_links(members, docs, least))
     # One document with two texts links its two classes, which are both named after it or after a smaller copy.
     twice = found.join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
     shared = twice.join(found.groupBy("doc_id").agg(F.min("text_key").alias("x"), F.max("text_key").alias("y")).filter("x <> y").select(F.col("doc_id").alias("a")), "a")
@@ -251,8 +329,8 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     A null, empty or blank text has no shingle and is alone, also among its like; so is a row without doc_id, whose
     class is null. Rows that share a doc_id are one document, in the class of either text. An empty table gives no rows.
 
-    Buckets are never paired all with all. First every document meets one leader per table. Then only buckets whose documents are
-    still in several groups are looked at again, see ``remaining_pairs``.
+    First every document meets one leader per table. Then only buckets whose documents are still in several groups are looked
+    at again, and every two of their documents that are not in one group are compared, see ``small_pairs`` and ``large_links``.
     """
     named = classes_of(docs, least)
     text = F.coalesce(F.col("text"), F.lit(""))

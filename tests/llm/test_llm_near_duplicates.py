@@ -79,6 +79,29 @@ def test_near_duplicates_equal_all_pairs(docs_of, prose, monkeypatch):
     assert order_minhash.near_duplicates(docs_of([])).count() == 0
 
 
+def table_hashes(text):
+    return order_minhash.sketch(order_minhash.labelled(Buffer([text]).word_hashes()[0]))
+
+
+@pytest.mark.parametrize("block, shingles", [(64, 1 << 20), (512, 40_000)])
+def test_pairs_of_a_large_bucket_are_all_compared(docs_of, prose, monkeypatch, block, shingles):
+    """Texts that share a long template and are not similar by it, with pairs among them that are: none that shares a table is lost."""
+    monkeypatch.setattr(order_minhash, "BLOCK", block, raising=False)
+    monkeypatch.setattr(order_minhash, "BLOCK_SHINGLES", shingles, raising=False)
+    template, rows = prose(250, 4), []
+    for i in range(400):
+        own = prose(32, 5000 + i).split()
+        rows.append((i, " ".join([template, *own])))
+        if i % 5 == 0:
+            rows.append((1000 + i, " ".join([template, *own[: 3 + i % 4], prose(29 - i % 4, 9000 + i)])))
+    tables = {i: table_hashes(t) for i, t in rows}
+    s = {i: labels(t) for i, t in rows}
+    pairs = [(a, b) for a in s for b in s if a < b and (tables[a] == tables[b]).any() and order_minhash.similarity(s[a], s[b]) >= 0.8]
+    assert len(pairs) >= 60 and all(b == a + 1000 for a, b in pairs)
+    found = order_minhash.near_duplicates(docs_of(rows)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == smallest(pairs, list(s))
+
+
 def test_alignment_counts_order():
     words = [f"w{i}" for i in range(100)]
     a, moved = labels(" ".join(words)), labels(" ".join(words[50:] + words[:50]))
