@@ -80,7 +80,7 @@ def test_near_duplicates_equal_all_pairs(docs_of, prose, monkeypatch):
 
 
 def table_hashes(text):
-    return order_minhash.sketch(order_minhash.labelled(Buffer([text]).word_hashes()[0]))
+    return order_minhash.sketch(labels(text))
 
 
 @pytest.mark.parametrize("block, shingles", [(64, 1 << 20), (512, 40_000)])
@@ -102,6 +102,16 @@ def test_pairs_of_a_large_bucket_are_all_compared(docs_of, prose, monkeypatch, b
     assert {r["doc_id"]: r["class_id"] for r in found} == smallest(pairs, list(s))
 
 
+def test_repeats_inside_a_text_do_not_hide_its_copies(docs_of, prose):
+    """Texts that hold another twice or more often are as similar as the alignment says, and meet as often."""
+    rows = [(i, prose(120, 700 + i)) for i in range(40)]
+    rows += [(100 + i, " ".join([t] * (2 + i % 6))) for i, t in rows]
+    rows += [(300, "the " * 5), (301, "the " * 300), (302, "the " * 40)]
+    expected = brute_classes(rows)
+    assert all(expected[100 + i] == i for i in range(40)) and expected[301] == 300
+    assert {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(docs_of(rows)).collect()} == expected
+
+
 def test_alignment_counts_order():
     words = [f"w{i}" for i in range(100)]
     a, moved = labels(" ".join(words)), labels(" ".join(words[50:] + words[:50]))
