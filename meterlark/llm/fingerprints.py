@@ -2,8 +2,8 @@
 
 The sum does not depend on the order of paragraphs, and a paragraph is inserted or deleted by adding or
 subtracting its vector. A vector has two parts. ``STRONG`` 64-bit lanes are hashes of the whole paragraph,
-for equality. ``LANES`` 16-bit lanes are signed counts of its three-word shingles, so that the angle between two sums
-tells how much two documents share.
+for equality. ``LANES`` 64-bit lanes are signed counts of its three-word shingles, so that the angle between two sums
+tells how much two documents share; no text is long enough to overflow one.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ WORDS = 3
 
 
 def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of each text's paragraphs: (texts x STRONG) uint64 and (texts x LANES) int16.
+    """Sums of each text's paragraphs: (texts x STRONG) uint64 and (texts x LANES) int64.
 
     A paragraph is what stands between line feeds; a text without any is one paragraph, so the empty text has one.
     """
@@ -61,7 +61,7 @@ def fingerprints(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at = text[taken] * LANES + (h % U64(LANES)).astype(np.int64)
         sign = ((h >> U64(40)) & U64(1)).astype(np.int64) * 2 - 1
         counts = np.bincount(at, weights=sign, minlength=n * LANES).astype(np.int64)
-    return strong, counts.astype(np.int16).reshape(n, LANES)
+    return strong, counts.reshape(n, LANES)
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -75,14 +75,14 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 def written(print_: tuple[np.ndarray, np.ndarray]) -> list[str]:
     """Both parts as lowercase hex, big-endian lanes in order."""
-    strong, counts = print_[0].astype(">u8"), print_[1].astype(">i2")
+    strong, counts = print_[0].astype(">u8"), print_[1].astype(">i8")
     return [strong[i].tobytes().hex() + counts[i].tobytes().hex() for i in range(len(strong))]
 
 
 def read(prints: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     raw = [bytes.fromhex(p) for p in prints]
     strong = np.array([np.frombuffer(r[: 8 * STRONG], dtype=">u8") for r in raw], dtype=U64).reshape(-1, STRONG)
-    counts = np.array([np.frombuffer(r[8 * STRONG :], dtype=">i2") for r in raw], dtype=np.int16).reshape(-1, LANES)
+    counts = np.array([np.frombuffer(r[8 * STRONG :], dtype=">i8") for r in raw], dtype=np.int64).reshape(-1, LANES)
     return strong, counts
 
 

@@ -58,6 +58,16 @@ def test_likeness_follows_shared_text(prose):
     assert near[0] == 1 and 0.3 < near[1] < 0.7 and near[2] < 0.25
 
 
+def test_lanes_hold_the_counts_of_a_text_of_equal_words(prose):
+    text = "log " * 100_000
+    prints = [fingerprints.fingerprints([t]) for t in (text, text[: len(text) // 2] + prose(50, 1), prose(400, 2))]
+    assert np.abs(prints[0][1]).max() == 99_998
+    assert fingerprints.likeness(prints[0], prints[1])[0] > 0.99 and fingerprints.likeness(prints[0], prints[2])[0] < 0.25
+    import pandas as pd
+
+    assert (fingerprints.read(pd.Series(fingerprints.written(prints[0])))[1] == prints[0][1]).all()
+
+
 TOKENIZER = queries.public_bpe()
 
 
