@@ -1,12 +1,13 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash of the last bytes decides where a text is cut, so an insertion moves only the cuts beside it and equal passages fall into
-equal chunks wherever they stand. Chunks are compared by digest; runs of chunks that an earlier document holds are
-the repeated passages.
+equal chunks wherever they stand. Chunks are compared by digest; each that an earlier document holds is extended in both
+texts as far as they agree, and what the extensions cover are the repeated passages.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,19 +15,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from meterlark.llm.text import BASES, U64, Buffer, Prefix, buffers, small_batches
+from meterlark.session import stage
 
 # Bytes that decide on a cut, the share of places that are cuts, and the bounds of a chunk in bytes: chunks of 45 bytes on average.
 GEAR_WIDTH = 16
 CUT_BITS = 5
 SHORTEST = 16
 LONGEST = 80
-# A run of repeated chunks is a passage from so many words on. A passage of 50 words keeps above this: it loses
-# at most the part before its first cut and behind its last.
+# A repeated stretch of text, at its true ends, is a passage from so many whole words on.
 LEAST_WORDS = 20
+# A longer stretch without a blank, as in Chinese or Japanese, counts as a word for every so many code points.
+LONG_WORD = 30
+POINTS_A_WORD = 6
 
 _GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
 
-# A chunk's place is one number, start, bytes and words, since every field of a shuffled row takes eight bytes.
+# A chunk's place is one number, start and length, since every field of a shuffled row takes eight bytes.
 CHUNKS = "doc_id long, text_key long, place long, h1 long, h2 long"
 
 
@@ -102,10 +106,10 @@ def chunks(docs: DataFrame) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in buffers(frames):
-            text, start, end, words, h1, h2 = chunks_of(frame["text"].tolist())
+            text, start, end, _, h1, h2 = chunks_of(frame["text"].tolist())
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"].to_numpy()[text], "text_key": frame["text_key"].to_numpy()[text],
-                "place": (start << 16) | ((end - start) << 8) | words, "h1": h1, "h2": h2,
+                "place": (start << 8) | (end - start), "h1": h1, "h2": h2,
             })
 
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -113,33 +117,148 @@ def chunks(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, CHUNKS)
 
 
+_UNIT = re.compile(r"[^\t-\r\x1c- ]+")
+
+
+def units(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends (code points) of the words of a text; a stretch of over ``LONG_WORD`` is cut into pieces of ``POINTS_A_WORD``."""
+    begin, end = [], []
+    for m in _UNIT.finditer(text):
+        a, b = m.span()
+        if b - a > LONG_WORD:
+            begin.extend(range(a, b - POINTS_A_WORD + 1, POINTS_A_WORD))
+            end.extend(range(a + POINTS_A_WORD, b + 1, POINTS_A_WORD))
+        else:
+            begin.append(a)
+            end.append(b)
+    return np.array(begin, dtype=np.int64), np.array(end, dtype=np.int64)
+
+
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def run_on(a: np.ndarray, b: np.ndarray) -> int:
+    """How far two texts agree from their beginnings; reads little more than that."""
+    n, at, step = min(len(a), len(b)), 0, 256
+    while at < n:
+        differ = a[at : min(n, at + step)] != b[at : min(n, at + step)]
+        if differ.any():
+            return at + int(differ.argmax())
+        at, step = at + step, 2 * step
+    return n
+
+
+def agreeing(a: Prefix, at: int, b: Prefix, places: np.ndarray, limit: np.ndarray, back: bool) -> np.ndarray:
+    """For every place of the second text, how far it agrees with the first from there on (or back from there), up to its limit."""
+    low, high = np.zeros_like(limit), limit.copy()
+    while (low < high).any():
+        middle = (low + high + 1) // 2
+        if back:
+            same = a.ranges(at - middle, np.full_like(middle, at)) == b.ranges(places - middle, places)
+        else:
+            same = a.ranges(np.full_like(middle, at), at + middle) == b.ranges(places, places + middle)
+        low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+    return low
+
+
+def extended(text: str, first: str, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Start, end and number of seeds of the stretches of a text around its seeds (chunks) that another text holds.
+
+    A seed is looked for wherever the other text holds it; the longest extension counts. Seeds that an earlier one's
+    extension covers belong to it.
+    """
+    x, y, sums = points(text), points(first), None
+    out: list[tuple[int, int, int]] = []
+    for start, end in sorted(seeds):
+        if out and end <= out[-1][1]:
+            out[-1] = (*out[-1][:2], out[-1][2] + 1)
+            continue
+        places: list[int] = []
+        for cut in (0, 1):  # the last code point may be of the chunk in part only
+            at = first.find(text[start : end - cut])
+            while at >= 0 and end - cut > start:
+                places.append(at)
+                at = first.find(text[start : end - cut], at + 1)
+            if places:
+                break
+        else:
+            continue
+        if len(places) <= 16:
+            reach = [(run_on(x[:start][::-1], y[:at][::-1]), run_on(x[start:], y[at:])) for at in places]
+            left, right = max(reach, key=sum)
+            out.append((start - left, start + right, 1))
+            continue
+        sums = sums or (Prefix(x), Prefix(y))
+        a, b = sums
+        p = np.array(places, dtype=np.int64)
+        left = agreeing(a, start, b, p, np.minimum(p, start), True)
+        right = agreeing(a, start, b, p, np.minimum(len(first) - p, len(text) - start), False)
+        best = int((left + right).argmax())
+        out.append((start - int(left[best]), start + int(right[best]), 1))
+    return out
+
+
+EXTENDED = "doc_id long, text_key long, first_doc_id long, start long, end long, before long, behind long, n long"
+
+
+def extensions(seeds: DataFrame, docs: DataFrame) -> DataFrame:
+    """The stretches around the seeds (doc_id, text_key, first_doc_id, seeds) that the text of first_doc_id holds.
+
+    ``before`` words begin before a stretch's start, ``behind`` end up to its end: the difference is its whole words.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    own = docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text")).join(
+        seeds.select("doc_id", "text_key").distinct().hint("shuffle_hash"), ["doc_id", "text_key"]).distinct()
+    firsts = docs.select(F.col("doc_id").alias("first_doc_id"), text.alias("first_text")).join(
+        seeds.select("first_doc_id").distinct().hint("shuffle_hash"), "first_doc_id").distinct()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for r in frame.itertuples(index=False):
+                found = extended(r.text, r.first_text, [(s["start"], s["end"]) for s in r.seeds])
+                if found:
+                    begin, end = units(r.text)
+                    for a, b, n in found:
+                        rows.append((r.doc_id, r.text_key, r.first_doc_id, a, b, np.searchsorted(begin, a), np.searchsorted(end, b, side="right"), n))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in EXTENDED.split(", ")], dtype="int64")
+
+    joined = seeds.join(own, ["doc_id", "text_key"]).join(firsts, "first_doc_id")
+    return small_batches(joined).select("doc_id", "text_key", "first_doc_id", "seeds", "text", "first_text").mapInPandas(run, EXTENDED)
+
+
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, start, end, n_words, n_chunks, first_doc_id: the passages that a document repeats from smaller doc_ids.
 
-    Places are code points, the end exclusive; ``first_doc_id`` is the smallest document that holds the most of the passage's
+    Places are code points, the end exclusive, at the true ends of what is repeated; ``n_words`` counts whole words (see ``units``),
+    ``n_chunks`` the repeated chunks inside; ``first_doc_id`` is the smallest document that holds the most of the passage's
     chunks' first occurrences. ``docs`` needs doc_id and text; other columns are ignored whatever their names. The
     smallest doc_id that holds a chunk keeps it; repeats inside one document stay. Null and empty texts and rows without
     doc_id have no passages. Rows that share a doc_id are one document and do not repeat each other; equal rows give
     equal passages once. An empty table gives no rows.
 
     Digests are counted with a sum per task before the shuffle, so a chunk that a third of all documents hold is one row per task; the
-    chunks then meet the repeated digests in a join that adaptive execution splits where a digest is hot.
+    chunks then meet the repeated digests in a join that adaptive execution splits where a digest is hot. Every repeated chunk is
+    extended against the text of its first document, and stretches that touch are one passage, before short ones are dropped.
     """
     found = chunks(docs)
     seen = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
     repeated = seen.filter("first_doc_id < last").drop("last")
+    start = F.shiftright("place", 8)
     later = found.join(repeated, ["h1", "h2"]).filter("doc_id > first_doc_id").select(
-        "doc_id", "text_key", "first_doc_id", F.shiftright("place", 16).alias("start"),
-        (F.shiftright("place", 16) + F.shiftright("place", 8).bitwiseAND(255)).alias("end"),
-        F.col("place").bitwiseAND(255).alias("words")).distinct()
-    # A document's chunks in order; a gap begins a new passage. Bounded by the document.
-    order = Window.partitionBy("doc_id", "text_key").orderBy("start", "end")
+        "doc_id", "text_key", "first_doc_id", F.struct(start.alias("start"), (start + F.col("place").bitwiseAND(255)).alias("end")).alias("seed"))
+    seeds = stage(later.groupBy("doc_id", "text_key", "first_doc_id").agg(F.collect_set("seed").alias("seeds")), "chunk-seeds")
+    # A document's stretches in order; a gap begins a new passage. Bounded by the document.
+    order = Window.partitionBy("doc_id", "text_key").orderBy("start", "end", "first_doc_id")
     begins = F.when(F.col("start") <= F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), 0).otherwise(1)
-    numbered = later.withColumn("begins", begins).withColumn("run", F.sum("begins").over(order))
-    passages = numbered.groupBy("doc_id", "text_key", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"),
-        F.sum("words").alias("n_words"), F.count(F.lit(1)).alias("n_chunks"),
-        F.mode("first_doc_id", True).alias("first_doc_id"),
+    numbered = extensions(seeds, docs).withColumn("begins", begins).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    key = ["doc_id", "text_key", "run"]
+    passages = numbered.groupBy(*key, "first_doc_id").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("behind").alias("behind"), F.sum("n").alias("n"),
+    ).groupBy(*key).agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), (F.max("behind") - F.min("before")).alias("n_words"),
+        F.sum("n").alias("n_chunks"), F.max_by("first_doc_id", F.struct("n", -F.col("first_doc_id"))).alias("first_doc_id"),
     )
     return passages.filter(F.col("n_words") >= least_words).select(
         "doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id").distinct()

@@ -55,6 +55,30 @@ def test_places_are_code_points(docs_of, prose):
     assert text[r["start"] : r["end"]] in passage and r["end"] - r["start"] > 0.5 * len(passage)
 
 
+def test_short_words_and_texts_without_blanks_are_found_to_their_ends(docs_of):
+    rng = random.Random(8)
+
+    def short(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 4))) for _ in range(n))
+
+    def unblanked(n):
+        return "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(n))
+
+    rows, truth = [], {}
+    for i in range(300):
+        passage = short(51) if i % 3 else unblanked(200)
+        for at in (2 * i, 2 * i + 1):
+            before, behind = (short(20), short(20)) if i % 3 else (unblanked(50), unblanked(50))
+            # Letters that differ at both ends, so that the passage's ends are its own.
+            rows.append((at, f"{before}{'XY'[at % 2]} {passage} {'VW'[at % 2]}{behind}"))
+        truth[2 * i + 1] = (f" {passage} ", 51 if i % 3 else 33)
+    texts = dict(rows)
+    found = {r["doc_id"]: r for r in chunk_dedup.repeated_passages(docs_of(rows)).collect()}
+    assert set(found) == set(truth)
+    for i, r in found.items():
+        assert (texts[i][r["start"] : r["end"]], r["n_words"]) == truth[i] and r["first_doc_id"] == i - 1
+
+
 def test_an_insertion_moves_only_the_cuts_beside_it(prose):
     text = prose(2000, 3)
     a = chunk_dedup.chunks_of([text])
