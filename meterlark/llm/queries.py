@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterlark.llm import chunk_dedup, embedding_dedup, fingerprints, line_dedup, mixing, order_minhash, packing, secrets, site_quality, toxicity
+from meterlark.llm import (
+    chunk_dedup, compression, embedding_dedup, fingerprints, hard_negatives, line_dedup, mixing, order_minhash, packing, prefix_trie, secrets,
+    site_quality, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,7 +94,8 @@ def mixing_sql(documents: str, cover: bool) -> str:
 counted AS (
     SELECT *, coalesce(CAST(source AS VARCHAR), '') AS src,
            CAST(('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 6)) AS BIGINT) % 1024 AS block,
-           len(regexp_extract_all(coalesce(text, ''), '[^	- ]+')) AS n_tokens
+           len(regexp_extract_all(coalesce(text, ''), '[^	-
+ ]+')) AS n_tokens
     FROM {documents}),
 blocks AS (SELECT src, block, sum(n_tokens)::BIGINT AS tokens FROM counted GROUP BY src, block),
 sources AS (SELECT src, sum(tokens)::BIGINT AS all_tokens FROM blocks GROUP BY src),
@@ -170,3 +174,76 @@ def op10_secrets(spark, sf_dir):
 @query
 def op9_embedding_dedup(spark, sf_dir):
     return embedding_dedup.dedup_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_compression_bands(spark, sf_dir):
+    return compression.quality_rules(documents(spark, sf_dir))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, CAST(list_inner_product(a.q, o.q) AS BIGINT) AS score
+    FROM v a JOIN v o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+     AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+# The checksum of a conversation's decimal number, bit by bit; then every prefix as a list of turns.
+ORACLES["op13_prefix_trie"] = """
+WITH owned AS (
+    SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+summed AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, byte: list_reduce(
+            list_concat([xor(crc, byte)], range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 4 AS h
+    FROM owned),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(list_slice(coalesce(b.own, []), 1, c.h), list_slice(c.own, c.h + 1, len(c.own))) AS s
+    FROM summed c LEFT JOIN owned b ON b.conv_id = c.conv_id - c.conv_id % 20),
+steps AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM rebuilt),
+members AS (SELECT conv_id, depth, list_slice(s, 1, depth) AS key, depth = len(s) AS ends FROM steps),
+nodes AS (
+    SELECT key, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY key),
+worded AS (
+    SELECT *, list_slice(key, 1, depth - 1) AS parent,
+           CASE WHEN depth = 0 THEN 0
+                ELSE (n_convs - 1) * len(regexp_extract_all(key[depth].text, '[^\\x20\\x09-\\x0D]+')) END AS saved
+    FROM nodes),
+children AS (SELECT parent, count(*) AS n FROM worded WHERE depth > 0 GROUP BY parent),
+whole AS (SELECT w.*, coalesce(c.n, 0) AS n_children FROM worded w LEFT JOIN children c ON w.key = c.parent),
+upward AS (SELECT *, unnest(range(depth + 1)) AS up FROM whole),
+sums AS (
+    SELECT list_slice(key, 1, up) AS top, count_if(n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM upward GROUP BY top)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256
+FROM whole w JOIN sums s ON w.key = s.top LEFT JOIN nodes p ON w.depth > 0 AND p.key = w.parent
+"""
