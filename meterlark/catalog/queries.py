@@ -56,7 +56,14 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_trips(raw(spark, sf_dir))
+    """The trips that survive cleaning; each event has a number of its own, so places are unique."""
+    trips = raw(spark, sf_dir)
+    return cleaning.clean_trips(trips, firsts=cleaning.first_places(trips))
+
+
+def clean_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = raw(spark, sf_dir)
+    return cleaning.cleaning_report(trips, firsts=cleaning.first_places(trips))
 
 
 def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +93,8 @@ def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.compare_models(metrics.regression_metrics(forecasts(spark, sf_dir)))
+    """The metric table, written once as the training jobs do: some queries look at it several times."""
+    return stage(metrics.compare_models(metrics.regression_metrics(forecasts(spark, sf_dir))), "comparison")
 
 
 def by_distance(df: DataFrame) -> DataFrame:
@@ -164,7 +172,7 @@ def s7_metric_table(spark, sf_dir):
 
 @query
 def s8_report_json(spark, sf_dir):
-    return tables.report_json(rounded(cleaning.cleaning_report(raw(spark, sf_dir))))
+    return tables.report_json(rounded(clean_report(spark, sf_dir)))
 
 
 @query
@@ -204,7 +212,7 @@ QUERIES.update(
 
 @query
 def c8_clean_report(spark, sf_dir):
-    return rounded(cleaning.cleaning_report(raw(spark, sf_dir)))
+    return rounded(clean_report(spark, sf_dir))
 
 
 @query
@@ -218,13 +226,14 @@ def c8_clean_csv(spark, sf_dir):
     path = scratch(spark, "trips-csv")
     raw(spark, sf_dir).select(*params.RAW_COLUMNS).write.option("header", True).option(
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
-    return rounded(cleaning.clean_trips(trip_files.read_trips_csv(spark, path)).drop("row_seq"))
+    trips = trip_files.read_trips_csv(spark, path)
+    return rounded(cleaning.clean_trips(trips, firsts=cleaning.first_places(trips)).drop("row_seq"))
 
 
 @query
 def c9_sanity(spark, sf_dir):
     limits = F.explode(F.array(F.lit(0.05), F.lit(0.01))).alias("limit")
-    found = cleaning.cleaning_report(raw(spark, sf_dir)).select(limits, "pct_removed")
+    found = clean_report(spark, sf_dir).select(limits, "pct_removed")
     return rounded(found.withColumn("removal_warning", cleaning.too_many_removed(F.col("pct_removed"), F.col("limit"))))
 
 
@@ -471,8 +480,9 @@ def v3_compare(spark, sf_dir):
 
 @query
 def v4_drift(spark, sf_dir):
-    saved = comparison(spark, sf_dir).withColumn("rmse", F.when(F.col("model") == "lag_24", F.col("rmse") + 0.5).otherwise(F.col("rmse") + 0.01))
-    return rounded(metrics.drift(saved, metrics.regression_metrics(forecasts(spark, sf_dir)), params.DEMAND_DRIFT_PICKUPS))
+    recomputed = comparison(spark, sf_dir)
+    saved = recomputed.withColumn("rmse", F.when(F.col("model") == "lag_24", F.col("rmse") + 0.5).otherwise(F.col("rmse") + 0.01))
+    return rounded(metrics.drift(saved, recomputed, params.DEMAND_DRIFT_PICKUPS))
 
 
 @query
@@ -542,7 +552,7 @@ def v9_demand_evaluation(spark, sf_dir):
 def v10_summary(spark, sf_dir):
     matrix = encoding.duration_matrix(featured(spark, sf_dir))
     durations = regressors.predictions(by_distance, matrix, "by_distance", params.MIN_TRIP_SECONDS)
-    demand_table = metrics.regression_metrics(forecasts(spark, sf_dir), nonzero=True)
+    demand_table = stage(metrics.regression_metrics(forecasts(spark, sf_dir), nonzero=True), "demand-metrics")
     return rounded(report.summary(metrics.regression_metrics(durations), metrics.best_model(demand_table)))
 
 
@@ -679,7 +689,8 @@ def k3_preview(spark, sf_dir):
 # --- requests -----------------------------------------------------------------------------------
 
 def _history(spark, sf_dir):
-    return hourly(spark, sf_dir).select("pickup_zone", "hour", "pickup_count")
+    """The hourly table, written once: what the scorers read it for is its span and its counts."""
+    return stage(hourly(spark, sf_dir).select("pickup_zone", "hour", "pickup_count"), "history")
 
 
 @query

@@ -75,11 +75,37 @@ def row_order(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> Colu
     return (place * F.lit(1 << 60).cast("decimal(19,0)")).cast("decimal(38,0)") + content.cast("decimal(20,0)")
 
 
-def with_failed_rule(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    """Position (from 1) of the first row rule each row fails; null when it passes all."""
+def first_places(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> DataFrame:
+    """(_key, _first) of the ids that occur more than once, with their first place: only these two columns are read and shuffled.
+
+    Summed per task before the shuffle, so an id that holds a third of the rows is one row per task.
+    """
+    places = df.select(F.col(key).alias("_key"), F.coalesce(F.col(order_by), F.lit(LAST_PLACE)).alias("_place"))
+    per_id = places.groupBy("_key").agg(F.count(F.lit(1)).alias(COPIES), F.min("_place").alias("_first"))
+    return per_id.filter(F.col(COPIES) > 1).drop(COPIES)
+
+
+def with_failed_rule(
+    df: DataFrame, rules: Sequence[Rule] | None = None, key: str = "id", order_by: str = "row_seq", firsts: DataFrame | None = None
+) -> DataFrame:
+    """Position (from 1) of the first row rule each row fails, 0 for a later copy of its id; null when it passes all.
+
+    ``firsts`` is ``first_places(df)``, for tables in which no two rows of an id have the same place, as all that this library's readers number;
+    one left join of it then marks the later copies. Without it places may be equal or missing, see ``drop_later_copies``,
+    and the later copies are gone from the result.
+    """
     rules = default_rules() if rules is None else rules
-    failed = [F.when(bad, F.lit(i)) for i, (_, bad) in enumerate(rules, start=1)]
-    return df.withColumn(FAILED_RULE, F.coalesce(*failed, F.lit(None).cast("int")))
+    if firsts is None:
+        rows, later = drop_later_copies(df, key, order_by), F.lit(False)
+    else:
+        rows = df.join(firsts, F.col(key).eqNullSafe(F.col("_key")), "left")
+        later = F.col("_first").isNotNull() & (F.coalesce(F.col(order_by), F.lit(LAST_PLACE)) != F.col("_first"))
+    # One chain that looks at both sides of the join: a filter on it stays behind the join, and what the rules
+    # read is computed once. Pushed below, every rule would compute its inputs anew.
+    failed = F.when(later, F.lit(0))
+    for i, (_, bad) in enumerate(rules, start=1):
+        failed = failed.when(bad, F.lit(i))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], failed.alias(FAILED_RULE))
 
 
 def repeated_ids(df: DataFrame, key: str = "id", order_by: str = "row_seq") -> DataFrame:
@@ -110,14 +136,14 @@ def drop_later_copies(df: DataFrame, key: str = "id", order_by: str = "row_seq")
 
 
 def clean_trips(
-    df: DataFrame, rules: Sequence[Rule] | None = None, key: str = "id", order_by: str = "row_seq"
+    df: DataFrame, rules: Sequence[Rule] | None = None, key: str = "id", order_by: str = "row_seq", firsts: DataFrame | None = None
 ) -> DataFrame:
-    """Rows that survive every rule.
+    """Rows that survive every rule; ``firsts`` as in ``with_failed_rule``.
 
     A bad first copy still removes the later ones, so no rule may act before the copies are dropped.
     """
-    firsts = with_failed_rule(drop_later_copies(df, key, order_by), rules)
-    return firsts.filter(F.col(FAILED_RULE).isNull()).drop(FAILED_RULE)
+    audited = with_failed_rule(df, rules, key, order_by, firsts)
+    return audited.filter(F.col(FAILED_RULE).isNull()).drop(FAILED_RULE)
 
 
 def cleaning_report(
@@ -126,21 +152,26 @@ def cleaning_report(
     key: str = "id",
     order_by: str = "row_seq",
     warn_above: float = params.REMOVAL_WARNING_SHARE,
+    firsts: DataFrame | None = None,
 ) -> DataFrame:
     """One row: rows in, rows removed per rule, rows out, share removed and whether that is a lot.
 
     Counted over the very rows that ``clean_trips`` decides on, so the report and the table agree.
     """
     rules = default_rules() if rules is None else rules
-    firsts = with_failed_rule(drop_later_copies(df, key, order_by), rules)
-    before = df.select(F.lit(1).alias("before"), F.lit(None).cast("int").alias(FAILED_RULE))
-    both = before.unionByName(firsts.select(F.lit(0).alias("before"), FAILED_RULE))
-    first = F.col("before") == 0
-    counts = both.agg(
-        F.count_if(~first).alias("rows_initial"),
-        (F.count_if(~first) - F.count_if(first)).alias(DUPLICATES),
+    audited = with_failed_rule(df, rules, key, order_by, firsts).select(FAILED_RULE)
+    if firsts is None:
+        # The later copies are gone from the rows: what the table had before is counted beside them.
+        gone = df.select(F.lit(-1).alias(FAILED_RULE))
+        rows, copies = audited.unionByName(gone), F.count_if(F.col(FAILED_RULE) == -1) - F.count_if(~F.col(FAILED_RULE).eqNullSafe(F.lit(-1)))
+        initial = F.count_if(F.col(FAILED_RULE) == -1)
+    else:
+        rows, copies, initial = audited, F.count_if(F.col(FAILED_RULE) == 0), F.count(F.lit(1))
+    counts = rows.agg(
+        initial.alias("rows_initial"),
+        copies.alias(DUPLICATES),
         *[F.count_if(F.col(FAILED_RULE) == i).alias(name) for i, (name, _) in enumerate(rules, start=1)],
-        F.count_if(first & F.col(FAILED_RULE).isNull()).alias("rows_final"),
+        F.count_if(F.col(FAILED_RULE).isNull()).alias("rows_final"),
     )
     removed = F.col("rows_initial") - F.col("rows_final")
     share = F.try_divide(removed.cast("double"), F.col("rows_initial"))
@@ -153,9 +184,11 @@ def too_many_removed(share: Column, limit: Column) -> Column:
     return share > limit
 
 
-def clean_trip_data(df: DataFrame, rules: Sequence[Rule] | None = None) -> tuple[DataFrame, DataFrame]:
+def clean_trip_data(
+    df: DataFrame, rules: Sequence[Rule] | None = None, firsts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The cleaned table and its report."""
-    return clean_trips(df, rules), cleaning_report(df, rules)
+    return clean_trips(df, rules, firsts=firsts), cleaning_report(df, rules, firsts=firsts)
 
 
 def flag_counts(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:

@@ -28,10 +28,15 @@ from meterlark.sources.tables import read_metric_table, report_json, write_csv
 from meterlark.sources.trips import read_stage, write_stage
 
 
-def prepare(spark: SparkSession, raw: DataFrame, work: str) -> None:
-    """Raw trips to ``train_cleaned`` and ``train_features``, with the cleaning report as JSON."""
-    write_stage(cleaning.clean_trips(raw), f"{work}/train_cleaned")
-    report_json(cleaning.cleaning_report(raw)).coalesce(1).write.mode("overwrite").text(f"{work}/cleaning_report")
+def prepare(spark: SparkSession, raw: DataFrame, work: str, unique_places: bool = False) -> None:
+    """Raw trips to ``train_cleaned`` and ``train_features``, with the cleaning report as JSON.
+
+    ``unique_places``: no two rows of an id share a place, as the readers number them. The repeated ids are then written once, so that the
+    join with them is planned by their true size and a small table of them spares the trips a shuffle.
+    """
+    firsts = stage(cleaning.first_places(raw), "first-places") if unique_places else None
+    write_stage(cleaning.clean_trips(raw, firsts=firsts), f"{work}/train_cleaned")
+    report_json(cleaning.cleaning_report(raw, firsts=firsts)).coalesce(1).write.mode("overwrite").text(f"{work}/cleaning_report")
     write_stage(build_features(read_stage(spark, f"{work}/train_cleaned")), f"{work}/train_features")
     require_usable(read_stage(spark, f"{work}/train_features"))
 

@@ -125,3 +125,30 @@ def test_own_rules_replace_the_default_ones(spark, trip):
     df = spark.createDataFrame([trip(1), trip(2, vendor_id="2"), trip(3, passenger_count=0)], RAW)
     kept, report = cleaning.clean_trip_data(df, rules)
     assert ids(kept) == ["t1", "t3"] and report.first()["vendor_two"] == 1
+
+
+def test_unique_places_need_one_join_and_two_reads(spark, sf_dir):
+    from meterlark.sources.event_trips import load_trips
+
+    trips = load_trips(spark, sf_dir)
+    firsts = cleaning.first_places(trips)
+    kept, report = cleaning.clean_trip_data(trips, firsts=firsts)
+    plain_kept, plain_report = cleaning.clean_trip_data(trips)
+    assert kept.count() == plain_kept.count() and kept.exceptAll(plain_kept).count() == 0
+    assert report.first() == plain_report.first()
+    for df in (kept, report):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 2 and plan.count("Join ") == 1 and "decimal(38" not in plan
+        # What the rules read is computed below the join: none of them derives a coordinate again.
+        assert "740000" not in plan[: plan.index("Join ")]
+    narrow = firsts._jdf.queryExecution().executedPlan().toString()
+    assert narrow.count("ReadSchema: struct<event_id:bigint>") == narrow.count("FileScan") > 0
+
+
+def test_unique_places_with_missing_ids_and_places(spark, trip):
+    rows = [trip(3, id=None), trip(1, id=None), trip(None, id="a"), trip(4, id="a"), trip(9, id="b", passenger_count=0), trip(10, id="b"), trip(None, id="c")]
+    df = spark.createDataFrame(rows, RAW)
+    kept, report = cleaning.clean_trip_data(df.repartition(3), firsts=cleaning.first_places(df))
+    assert sorted((r["id"] or "", r["row_seq"] or 0) for r in kept.collect()) == [("", 1), ("a", 4), ("c", 0)]
+    row = report.first()
+    assert (row["rows_initial"], row["duplicate_ids"], row["invalid_passenger_count"], row["rows_final"]) == (7, 3, 1, 3)
