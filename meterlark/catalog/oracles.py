@@ -104,6 +104,14 @@ CTES = {
             ({HOUR} BETWEEN 7 AND 10 OR {HOUR} BETWEEN 16 AND 19)::INT AS pickup_is_rush_hour,
             {circle(HOUR, DAY, 'pickup_', ('hour', 'weekday'))},
             {KM} AS trip_distance_km, {GRID_KM} AS manhattan_distance_km, {BEARING} AS bearing_degrees FROM clean)""",
+    "train": f"""
+        SELECT * REPLACE (CASE vendor_id WHEN '1' THEN 0 WHEN '2' THEN 1 ELSE -1 END AS vendor_id,
+            CASE store_and_fwd_flag WHEN 'N' THEN 0 WHEN 'Y' THEN 1 ELSE -1 END AS store_and_fwd_flag)
+        FROM featured WHERE {unit('id', 42)} >= 0.2::DOUBLE""",
+    "long": """
+        SELECT unnest([pickup_hour, pickup_weekday, pickup_is_weekend, pickup_is_rush_hour, pickup_hour_sin, pickup_hour_cos, pickup_weekday_sin,
+            pickup_weekday_cos, trip_distance_km, manhattan_distance_km, bearing_degrees, bearing_sin, bearing_cos, passenger_count,
+            vendor_id, store_and_fwd_flag]::DOUBLE[]) AS x, unnest(range(16)) AS feature, ln(1 + trip_duration) AS y FROM train""",
     "centroids": CENTROIDS_SQL,
     "zoned": f"""
         SELECT t.*, (SELECT zone_id FROM centroids c ORDER BY (t.{P_LAT} - c.lat) * (t.{P_LAT} - c.lat)
@@ -467,6 +475,28 @@ oracle(
             FROM featured , (SELECT regr_intercept(ln(1 + trip_duration), trip_distance_km) AS a, regr_slope(ln(1 + trip_duration), trip_distance_km) AS b
                 FROM featured WHERE NOT {IN_TEST}) f WHERE {IN_TEST})""",
 )
+# The sixteen features in the order in which a tree counts them, from 0.
+FEATURE_NAMES = (
+    "pickup_hour", "pickup_weekday", "pickup_is_weekend", "pickup_is_rush_hour", "pickup_hour_sin", "pickup_hour_cos", "pickup_weekday_sin",
+    "pickup_weekday_cos", "trip_distance_km", "manhattan_distance_km", "bearing_degrees", "bearing_sin", "bearing_cos", "passenger_count",
+    "vendor_id_code", "store_and_fwd_flag_code",
+)
+# A draw: seed, tree, the root's path in two words, feature and number of the draw, mixed one after the other.
+DRAW = """(list_reduce([0, 42, tree, 1, 0, feature, 0]::BIGINT[], lambda h, k: list_reduce(
+    [(h + k + 2654435769) % 4294967296, 739982445, 695872825, 1], lambda a, c:
+    (xor(a, a >> CASE WHEN c = 695872825 THEN 12 ELSE 15 END) * c) % 4294967296)) / 4294967296.0::DOUBLE)"""
+oracle(
+    "m6_first_splits",
+    f"""SELECT tree::BIGINT AS tree, [{', '.join(repr(c) for c in FEATURE_NAMES)}][arg_max(feature, (g, -feature)) + 1] AS feature,
+        {r('arg_max(cut, (g, -feature))')} AS threshold, {r('arg_max(b / l, (g, -feature))')} AS left_value,
+        {r('arg_max((sy - b) / (n - l), (g, -feature))')} AS right_value
+    FROM (SELECT tree, feature, cut, n, sy, l, b, round(b * b / l + (sy - b) * (sy - b) / (n - l) - sy * sy / n, 9) AS g
+        FROM (SELECT tree, d.feature, cut, n, sy, count_if(x <= cut) AS l, sum(y) FILTER (WHERE x <= cut) AS b
+            FROM (SELECT tree, feature, n, sy, lo + {DRAW} * (hi - lo) AS cut
+                FROM (SELECT feature, min(x) AS lo, max(x) AS hi, count(*) AS n, sum(y) AS sy FROM long GROUP BY feature), range(5) t(tree)
+                WHERE lo < hi) d
+            JOIN long ON long.feature = d.feature GROUP BY ALL) WHERE l > 0 AND l < n) GROUP BY tree""",
+)
 # Ridge with two columns: the inverse of the 2x2 matrix is written out.
 RIDGE = """
     base AS MATERIALIZED (SELECT ln(1 + demand_lag_24h::DOUBLE) AS a, ln(1 + demand_rolling_mean_24h) AS b, ln(1 + pickup_count::DOUBLE) AS y FROM demand),

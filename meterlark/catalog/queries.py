@@ -582,6 +582,18 @@ QUERIES.update(
 )
 
 
+@query
+def m6_first_splits(spark, sf_dir):
+    """The root of five extra trees: the split with the largest gain among one random threshold per feature."""
+    train, _ = _duration_parts(spark, sf_dir)
+    trees = ExtraTrees(5, 1).fit_table(train, params.DURATION_FEATURES).trees
+    rows = [
+        (t, params.DURATION_FEATURES[trees.feature[t][0]], trees.threshold[t][0], trees.value[t][trees.left[t][0]], trees.value[t][trees.right[t][0]])
+        for t in range(len(trees))
+    ]
+    return rounded(spark.createDataFrame(rows, "tree int, feature string, threshold double, left_value double, right_value double"))
+
+
 @query
 def m4_ols_single(spark, sf_dir):
     matrix = stage(encoding.duration_matrix(featured(spark, sf_dir)).select("id", "trip_distance_km", "label", "y_raw"), "one-feature")
@@ -690,7 +702,11 @@ def k3_preview(spark, sf_dir):
 
 def _history(spark, sf_dir):
     """The hourly table, written once: what the scorers read it for is its span and its counts."""
-    return stage(hourly(spark, sf_dir).select("pickup_zone", "hour", "pickup_count"), "history")
+    return stage(_lazy_history(spark, sf_dir), "history")
+
+
+def _lazy_history(spark, sf_dir):
+    return hourly(spark, sf_dir).select("pickup_zone", "hour", "pickup_count")
 
 
 @query
@@ -756,9 +772,9 @@ def q9_mode(spark, sf_dir):
     return requests(spark, sf_dir).select("request_id", rules.mode().alias("request_mode"))
 
 
-def _unified(spark, sf_dir):
+def _unified(spark, sf_dir, history=_history):
     return scoring.score_unified(
-        requests(spark, sf_dir), fixed_zones(), _history(spark, sf_dir), by_distance, by_last_day, by_speed,
+        requests(spark, sf_dir), fixed_zones(), history(spark, sf_dir), by_distance, by_last_day, by_speed,
         "by_distance", "by_last_day",
     )
 
@@ -788,7 +804,7 @@ def q12_deviation(spark, sf_dir):
 
 @query
 def q13_insight(spark, sf_dir):
-    return _unified(spark, sf_dir).select("request_id", "operational_insight")
+    return _unified(spark, sf_dir, _lazy_history).select("request_id", "operational_insight")
 
 
 @query

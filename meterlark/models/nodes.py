@@ -41,11 +41,28 @@ class Trees:
                 column[tree].append(empty)
         return first, first + 1
 
-    def packed(self) -> "Trees":
-        """The same trees as arrays: smaller to send and ready to route rows."""
+    def split_all(self, tree: np.ndarray, node: np.ndarray, feature: np.ndarray, threshold: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Split many leaves at once; returns the id of each one's first new leaf, the second is the next."""
+        first = np.empty(len(tree), np.int64)
+        for t in np.unique(tree):
+            own = np.flatnonzero(tree == t)
+            size = self.size(t)
+            first[own] = size + 2 * np.arange(len(own))
+            for i, at in zip(own.tolist(), node[own].tolist()):
+                self.feature[t][at], self.threshold[t][at] = int(feature[i]), float(threshold[i])
+                self.left[t][at], self.right[t][at] = int(first[i]), int(first[i]) + 1
+            new = 2 * len(own)
+            for column, empty in ((self.feature, -1), (self.threshold, 0.0), (self.left, -1), (self.right, -1)):
+                column[t].extend([empty] * new)
+            self.value[t].extend(np.column_stack([low[own], high[own]]).ravel().tolist())
+        return first
+
+    def packed(self, only=None) -> "Trees":
+        """The same trees as arrays, smaller to send and ready to route rows; of other trees than ``only`` nothing."""
         parts = (self.feature, self.threshold, self.left, self.right, self.value)
         types = (np.int32, np.float64, np.int32, np.int32, np.float64)
-        return Trees(*[[np.asarray(column, kind) for column in part] for part, kind in zip(parts, types)])
+        return Trees(*[
+            [np.asarray(column, kind) if only is None or t in only else None for t, column in enumerate(part)] for part, kind in zip(parts, types)])
 
     def leaf_of(self, x: np.ndarray, tree: int) -> np.ndarray:
         """Node where each row ends."""

@@ -87,6 +87,25 @@ def test_extra_trees_do_not_depend_on_partitions_or_reads(spark, table):
     assert other.trees.threshold != one.trees.threshold
 
 
+def test_extra_trees_read_the_table_about_once_per_level(spark, table):
+    model = ExtraTrees(6, 5, seed=2).fit_table(table, ("a", "b", "c"))
+    # Ranges of the whole table, five levels, and the nodes that had to wait for their true range.
+    assert 6 <= model.reads <= 10
+
+
+def test_extra_trees_split_at_uniform_thresholds_within_the_true_range(spark):
+    """Half of the rows lie in a thousandth of the box that the first split leaves: thresholds are still uniform in their range."""
+    rows = [(float(i >= 500), i / 1000 if i < 500 else 500.0 + i, float(i % 7) + 50.0 * (i >= 500)) for i in range(1000)]
+    df = stage(spark.createDataFrame(rows, "a double, b double, label double"), "narrow")
+    trees = ExtraTrees(120, 2, seed=5).fit_table(df, ("a", "b")).trees
+    inner = [
+        trees.threshold[t][trees.left[t][0]] for t in range(120)
+        if trees.feature[t][0] == 0 and trees.feature[t][trees.left[t][0]] == 1
+    ]
+    assert len(inner) > 40 and 0 <= min(inner) and max(inner) < 0.5
+    assert 0.2 < np.mean(inner) < 0.3 and np.quantile(inner, 0.25) < 0.2 and np.quantile(inner, 0.75) > 0.3
+
+
 def test_extra_trees_stop_at_pure_nodes(spark):
     df = spark.createDataFrame([(0.0, 1.0), (0.0, 1.0), (1.0, 3.0)], "a double, label double")
     model = ExtraTrees(2, 6).fit_table(df, ["a"])
