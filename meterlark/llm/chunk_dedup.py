@@ -1,18 +1,20 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash of the last bytes decides where a text is cut, so an insertion moves only the cuts beside it and equal passages fall into
-equal chunks wherever they stand. Chunks are compared by digest; each that an earlier document holds is extended in both
-texts as far as they agree, and what the extensions cover are the repeated passages.
+equal chunks wherever they stand. Chunks are compared by digest; runs of chunks that earlier documents hold are extended at both ends as far as
+the texts agree, and what the runs then cover are the repeated passages. Texts never travel in pairs: each is read once for the few
+code points around the ends of its runs.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlark.llm.text import BASES, U64, Buffer, Prefix, buffers, small_batches
 from meterlark.session import stage
@@ -30,8 +32,17 @@ POINTS_A_WORD = 6
 
 _GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
 
-# A chunk's place is one number, start and length, since every field of a shuffled row takes eight bytes.
-CHUNKS = "doc_id long, text_key long, place long, h1 long, h2 long"
+# Code points before and behind the end of a run that are compared at first; where they all agree, so many times more in the next round.
+# Behind a run a chunk's length is always enough: texts that agree further would have been cut alike.
+BEFORE, BEHIND = 256, 96
+WIDER = 16
+# Code points inside a run that must agree before its end is moved.
+ANCHOR = 16
+
+# A chunk is two numbers beside its document: a digest of 96 bits, and one of its text's tag, its start and its length.
+CHUNKS = "doc_id long, place long, h1 long, h2 int"
+TAG_BITS, LENGTH_BITS = 24, 8
+START_BITS = 63 - TAG_BITS - LENGTH_BITS
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -101,19 +112,38 @@ def chunks_of(texts: list[str]) -> tuple[np.ndarray, ...]:
     return text, points[start] - base, points[end] - base, words[end] - words[start], *digests
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """Every chunk of every document that has a doc_id."""
+def text_tag() -> Column:
+    """A short hash of a text: tells rows with the same doc_id and other texts apart."""
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), 64 - TAG_BITS)
+
+
+def start_of(place: Column) -> Column:
+    return F.shiftright(place, LENGTH_BITS).bitwiseAND((1 << START_BITS) - 1)
+
+
+def end_of(place: Column) -> Column:
+    return start_of(place) + place.bitwiseAND((1 << LENGTH_BITS) - 1)
+
+
+def tag_of(place: Column) -> Column:
+    return F.shiftright(place, START_BITS + LENGTH_BITS)
+
+
+def chunks(docs: DataFrame, once: bool = False) -> DataFrame:
+    """Every chunk of every document that has a doc_id; with ``once`` only the first of equal ones of a text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in buffers(frames):
             text, start, end, _, h1, h2 = chunks_of(frame["text"].tolist())
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"].to_numpy()[text], "text_key": frame["text_key"].to_numpy()[text],
-                "place": (start << 8) | (end - start), "h1": h1, "h2": h2,
+            tag = frame["tag"].to_numpy()[text]
+            out = pd.DataFrame({
+                "doc_id": frame["doc_id"].to_numpy()[text], "place": (tag << (START_BITS + LENGTH_BITS)) | (start << LENGTH_BITS) | (end - start),
+                "h1": h1, "h2": (h2 >> 32).astype(np.int32),
             })
+            yield out.loc[~pd.DataFrame({"t": text, "a": h1, "b": h2}).duplicated()] if once else out
 
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = small_batches(docs).filter("doc_id IS NOT NULL").select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
+    rows = small_batches(docs).filter("doc_id IS NOT NULL").select(
+        "doc_id", text_tag().alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInPandas(run, CHUNKS)
 
 
@@ -134,98 +164,98 @@ def units(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array(begin, dtype=np.int64), np.array(end, dtype=np.int64)
 
 
-def points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+# The surroundings of one place of a text. ``piece`` holds ``left`` code points before the place; ``marks`` has a bit for each that a
+# word begins at (side 0, before a run) or ends behind (side 1), and ``words`` counts those before the place.
+AROUND = "doc_id long, tag long, at long, side int, piece string, left int, marks binary, words long"
 
 
-def run_on(a: np.ndarray, b: np.ndarray) -> int:
-    """How far two texts agree from their beginnings; reads little more than that."""
-    n, at, step = min(len(a), len(b)), 0, 256
-    while at < n:
-        differ = a[at : min(n, at + step)] != b[at : min(n, at + step)]
-        if differ.any():
-            return at + int(differ.argmax())
-        at, step = at + step, 2 * step
-    return n
+def surroundings(wanted: DataFrame, docs: DataFrame, before: int, behind: int) -> DataFrame:
+    """``AROUND`` for every wanted (doc_id, tag, at, side): the only step that moves texts, each of them once."""
+    places = wanted.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("at", "side")).alias("places"))
+    texts = docs.select("doc_id", text_tag().alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
+    # The places build the hash side: texts are shuffled once and never sorted. Of rows that repeat a document each answers, once in the end.
+    held = texts.join(places.hint("shuffle_hash"), ["doc_id", "tag"])
 
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in buffers(frames):
+            rows = []
+            for doc_id, tag, text, places in frame[["doc_id", "tag", "text", "places"]].itertuples(index=False):
+                begin, end = units(text)
+                for place in places:
+                    at, side = place["at"], place["side"]
+                    if not 0 <= at <= len(text):
+                        continue
+                    low, high = max(0, at - (ANCHOR if side else before)), at + (behind if side else ANCHOR)
+                    piece = text[low:high]
+                    marks = np.zeros(len(piece), dtype=bool)
+                    ends = end - 1 if side else begin
+                    marks[ends[np.searchsorted(ends, low) : np.searchsorted(ends, high)] - low] = True
+                    rows.append((doc_id, tag, at, side, piece, at - low, np.packbits(marks).tobytes(), int(np.searchsorted(ends, at))))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in AROUND.split(", ")])
+
+    return small_batches(held).mapInPandas(run, AROUND)
 
-def agreeing(a: Prefix, at: int, b: Prefix, places: np.ndarray, limit: np.ndarray, back: bool) -> np.ndarray:
-    """For every place of the second text, how far it agrees with the first from there on (or back from there), up to its limit."""
-    low, high = np.zeros_like(limit), limit.copy()
-    while (low < high).any():
-        middle = (low + high + 1) // 2
-        if back:
-            same = a.ranges(at - middle, np.full_like(middle, at)) == b.ranges(places - middle, places)
-        else:
-            same = a.ranges(np.full_like(middle, at), at + middle) == b.ranges(places, places + middle)
-        low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
-    return low
 
+def agreement(a: str, b: str) -> int:
+    """How many code points two texts share from their beginnings."""
+    return len(os.path.commonprefix((a, b)))
 
-def extended(text: str, first: str, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """Start, end and number of seeds of the stretches of a text around its seeds (chunks) that another text holds.
 
-    A seed is looked for wherever the other text holds it; the longest extension counts. Seeds that an earlier one's
-    extension covers belong to it.
+def moved(own: str, left: int, other: str | None, other_left: int, side: int, limit: int) -> tuple[int, bool]:
+    """By how many code points an end of a run moves outwards, and whether a wider look could move it further.
+
+    The last code point of a run may belong to it in part only: then it moves inwards by one.
     """
-    x, y, sums = points(text), points(first), None
-    out: list[tuple[int, int, int]] = []
-    for start, end in sorted(seeds):
-        if out and end <= out[-1][1]:
-            out[-1] = (*out[-1][:2], out[-1][2] + 1)
-            continue
-        places: list[int] = []
-        for cut in (0, 1):  # the last code point may be of the chunk in part only
-            at = first.find(text[start : end - cut])
-            while at >= 0 and end - cut > start:
-                places.append(at)
-                at = first.find(text[start : end - cut], at + 1)
-            if places:
-                break
-        else:
-            continue
-        if len(places) <= 16:
-            reach = [(run_on(x[:start][::-1], y[:at][::-1]), run_on(x[start:], y[at:])) for at in places]
-            left, right = max(reach, key=sum)
-            out.append((start - left, start + right, 1))
-            continue
-        sums = sums or (Prefix(x), Prefix(y))
-        a, b = sums
-        p = np.array(places, dtype=np.int64)
-        left = agreeing(a, start, b, p, np.minimum(p, start), True)
-        right = agreeing(a, start, b, p, np.minimum(len(first) - p, len(text) - start), False)
-        best = int((left + right).argmax())
-        out.append((start - int(left[best]), start + int(right[best]), 1))
-    return out
+    if other is None:
+        return 0, False
+    inside, there = (own[:left], other[:other_left]) if side else (own[left:], other[other_left:])
+    out, beyond = (own[left:], other[other_left:]) if side else (own[:left][::-1], other[:other_left][::-1])
+    if side:
+        if inside and there and inside[-1] != there[-1]:
+            return -1, False
+        inside, there = inside[::-1], there[::-1]
+    if agreement(inside, there) < min(ANCHOR, len(inside), len(there)):
+        return 0, False
+    m = agreement(out, beyond)
+    return m, m == limit
 
 
-EXTENDED = "doc_id long, text_key long, first_doc_id long, start long, end long, before long, behind long, n long"
+ENDS = "doc_id long, tag long, run long, side int, first_doc_id long, reach long, words long, more boolean"
 
 
-def extensions(seeds: DataFrame, docs: DataFrame) -> DataFrame:
-    """The stretches around the seeds (doc_id, text_key, first_doc_id, seeds) that the text of first_doc_id holds.
+def run_ends(stretches: DataFrame, docs: DataFrame, before: int = BEFORE, behind: int = BEHIND) -> DataFrame:
+    """``ENDS`` for both ends of every stretch (a run and one document that holds chunks of it first).
 
-    ``before`` words begin before a stretch's start, ``behind`` end up to its end: the difference is its whole words.
+    ``stretches``: doc_id, tag, run, side, at, first_doc_id, first_tag, first_at: an end and the place in the other text that stands for it.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text")).join(
-        seeds.select("doc_id", "text_key").distinct().hint("shuffle_hash"), ["doc_id", "text_key"]).distinct()
-    firsts = docs.select(F.col("doc_id").alias("first_doc_id"), text.alias("first_text")).join(
-        seeds.select("first_doc_id").distinct().hint("shuffle_hash"), "first_doc_id").distinct()
+    own = stretches.select("doc_id", "tag", "at", "side")
+    other = stretches.select(F.col("first_doc_id").alias("doc_id"), F.col("first_tag").alias("tag"), F.col("first_at").alias("at"), "side")
+    around = stage(surroundings(own.unionByName(other).distinct(), docs, before, behind), "run-surroundings").dropDuplicates(
+        ["doc_id", "tag", "at", "side"])
+    right = around.select(
+        F.col("doc_id").alias("first_doc_id"), F.col("tag").alias("first_tag"), F.col("at").alias("first_at"), "side",
+        F.col("piece").alias("other"), F.col("left").alias("other_left"))
+    met = stretches.join(around, ["doc_id", "tag", "at", "side"]).join(right, ["first_doc_id", "first_tag", "first_at", "side"], "left")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+        for f in frames:
             rows = []
-            for r in frame.itertuples(index=False):
-                found = extended(r.text, r.first_text, [(s["start"], s["end"]) for s in r.seeds])
-                if found:
-                    begin, end = units(r.text)
-                    for a, b, n in found:
-                        rows.append((r.doc_id, r.text_key, r.first_doc_id, a, b, np.searchsorted(begin, a), np.searchsorted(end, b, side="right"), n))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in EXTENDED.split(", ")], dtype="int64")
-
-    joined = seeds.join(own, ["doc_id", "text_key"]).join(firsts, "first_doc_id")
-    return small_batches(joined).select("doc_id", "text_key", "first_doc_id", "seeds", "text", "first_text").mapInPandas(run, EXTENDED)
+            for r in f.itertuples(index=False):
+                other = None if r.other is None or r.other != r.other else r.other
+                side = int(r.side)
+                by, more = moved(r.piece, int(r.left), other, 0 if other is None else int(r.other_left), side, behind if side else before)
+                bits = np.unpackbits(np.frombuffer(r.marks, dtype=np.uint8)) if by else None
+                words = int(r.words)
+                if by > 0 and side:
+                    words += int(bits[r.left : r.left + by].sum())
+                elif by > 0:
+                    words -= int(bits[r.left - by : r.left].sum())
+                elif by < 0:
+                    words -= int(bits[r.left - 1])
+                rows.append((r.doc_id, r.tag, r.run, side, r.first_doc_id, r.at + by if side else r.at - by, words, more))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in ENDS.split(", ")])
+
+    return met.mapInPandas(run, ENDS)
 
 
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -239,28 +269,57 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     equal passages once. An empty table gives no rows.
 
     Digests are counted with a sum per task before the shuffle, so a chunk that a third of all documents hold is one row per task; the
-    chunks then meet the repeated digests in a join that adaptive execution splits where a digest is hot. Every repeated chunk is
-    extended against the text of its first document, and stretches that touch are one passage, before short ones are dropped.
+    chunks then meet the repeated digests in a join that adaptive execution splits where a digest is hot. Chunks that follow each
+    other are a run; each document that holds some of its chunks first says how far its text agrees beyond the run's ends (of a chunk
+    that it holds several times the first counts). Runs that touch are one passage, before short ones are dropped.
     """
-    found = chunks(docs)
-    seen = found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
-    repeated = seen.filter("first_doc_id < last").drop("last")
-    start = F.shiftright("place", 8)
-    later = found.join(repeated, ["h1", "h2"]).filter("doc_id > first_doc_id").select(
-        "doc_id", "text_key", "first_doc_id", F.struct(start.alias("start"), (start + F.col("place").bitwiseAND(255)).alias("end")).alias("seed"))
-    seeds = stage(later.groupBy("doc_id", "text_key", "first_doc_id").agg(F.collect_set("seed").alias("seeds")), "chunk-seeds")
-    # A document's stretches in order; a gap begins a new passage. Bounded by the document.
-    order = Window.partitionBy("doc_id", "text_key").orderBy("start", "end", "first_doc_id")
-    begins = F.when(F.col("start") <= F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), 0).otherwise(1)
-    numbered = extensions(seeds, docs).withColumn("begins", begins).withColumn("run", F.sum("begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    key = ["doc_id", "text_key", "run"]
-    passages = numbered.groupBy(*key, "first_doc_id").agg(
+    seen = chunks(docs, once=True).groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n"), F.min_by("place", "doc_id").alias("first_place"))
+    repeated = seen.filter("n > 1").drop("n")
+    later = chunks(docs).join(repeated, ["h1", "h2"]).filter("doc_id > first_doc_id").select(
+        "doc_id", tag_of(F.col("place")).alias("tag"), start_of(F.col("place")).alias("start"), end_of(F.col("place")).alias("end"),
+        "first_doc_id", tag_of(F.col("first_place")).alias("first_tag"), start_of(F.col("first_place")).alias("first_start"))
+    key = ["doc_id", "tag"]
+    # A document's repeated chunks in order; a gap begins a new run. Bounded by the document.
+    order = Window.partitionBy(*key).orderBy("start", "end")
+    begins = F.when(F.col("start") <= F.lag("end").over(order), 0).otherwise(1)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    chunked = later.distinct().withColumn("begins", begins).withColumn("run", F.sum("begins").over(upto))
+    shift = F.col("first_start") - F.col("start")
+    parts = stage(chunked.groupBy(*key, "run", "first_doc_id").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n"),
+        F.min_by("first_tag", "start").alias("left_tag"), F.min_by(shift, "start").alias("left_shift"),
+        F.max_by("first_tag", "start").alias("right_tag"), F.max_by(shift, "start").alias("right_shift")), "run-parts")
+    whole = parts.groupBy(*key, "run").agg(F.min("start").alias("run_start"), F.max("end").alias("run_end"))
+    ends = F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("run_start").alias("at"), F.col("left_tag").alias("first_tag"), (F.col("run_start") + F.col("left_shift")).alias("first_at")),
+        F.struct(F.lit(1).alias("side"), F.col("run_end").alias("at"), F.col("right_tag").alias("first_tag"), (F.col("run_end") + F.col("right_shift")).alias("first_at"))))
+    open_ends = stage(parts.join(whole, [*key, "run"]).select(*key, "run", "first_doc_id", ends.alias("e")).select(*key, "run", "first_doc_id", "e.*"), "run-open")
+    before, found = BEFORE, []
+    while True:
+        found.append(stage(run_ends(open_ends, docs, before), "run-ends"))
+        more = found[-1].filter("more")
+        if not more.limit(1).count():
+            break
+        # Few texts agree for longer; they are looked at again, and their first answer is outdone by the next.
+        open_ends = stage(open_ends.join(more.select(*key, "run", "side", "first_doc_id"), [*key, "run", "side", "first_doc_id"], "left_semi"), "run-open")
+        before *= WIDER
+    reached = found[0]
+    for wider in found[1:]:
+        reached = reached.unionByName(wider)
+    runs = reached.groupBy(*key, "run").agg(
+        F.min(F.when(F.col("side") == 0, F.col("reach"))).alias("start"), F.max(F.when(F.col("side") == 1, F.col("reach"))).alias("end"),
+        F.min(F.when(F.col("side") == 0, F.col("words"))).alias("before"), F.max(F.when(F.col("side") == 1, F.col("words"))).alias("behind"))
+    beside = Window.partitionBy(*key).orderBy("start", "end", "run")
+    apart = F.when(F.col("start") <= F.max("end").over(beside.rowsBetween(Window.unboundedPreceding, -1)), 0).otherwise(1)
+    passages = runs.withColumn("apart", apart).withColumn("passage", F.sum("apart").over(beside.rowsBetween(Window.unboundedPreceding, 0)))
+    counted = parts.select(*key, "run", "first_doc_id", "n").join(passages, [*key, "run"]).groupBy(*key, "passage", "first_doc_id").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("behind").alias("behind"), F.sum("n").alias("n"),
-    ).groupBy(*key).agg(
+    ).groupBy(*key, "passage").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), (F.max("behind") - F.min("before")).alias("n_words"),
         F.sum("n").alias("n_chunks"), F.max_by("first_doc_id", F.struct("n", -F.col("first_doc_id"))).alias("first_doc_id"),
     )
-    return passages.filter(F.col("n_words") >= least_words).select(
+    return counted.filter(F.col("n_words") >= least_words).select(
         "doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id").distinct()
 
 
