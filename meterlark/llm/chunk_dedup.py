@@ -32,8 +32,8 @@ POINTS_A_WORD = 6
 
 _GEAR = np.random.default_rng(5).integers(0, 1 << 32, 256, dtype=np.uint32)
 
-# Code points before and behind the end of a run that are compared at first; where they all agree, so many times more in the next round.
-# Behind a run a chunk's length is always enough: texts that agree further would have been cut alike.
+# Code points before and behind the end of a run that are compared at first; where they all agree, so many times more in the next round, until
+# the texts differ or end. Texts that agree further than a chunk behind a chunk of both are cut alike there, so few ends need a second round.
 BEFORE, BEHIND = 256, 96
 WIDER = 16
 # Code points inside a run that must agree before its end is moved.
@@ -223,7 +223,7 @@ def moved(own: str, left: int, other: str | None, other_left: int, side: int, li
 ENDS = "doc_id long, tag long, run long, side int, first_doc_id long, reach long, words long, more boolean"
 
 
-def run_ends(stretches: DataFrame, docs: DataFrame, before: int = BEFORE, behind: int = BEHIND) -> DataFrame:
+def run_ends(stretches: DataFrame, docs: DataFrame, before: int, behind: int) -> DataFrame:
     """``ENDS`` for both ends of every stretch (a run and one document that holds chunks of it first).
 
     ``stretches``: doc_id, tag, run, side, at, first_doc_id, first_tag, first_at: an end and the place in the other text that stands for it.
@@ -295,15 +295,15 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
         F.struct(F.lit(0).alias("side"), F.col("run_start").alias("at"), F.col("left_tag").alias("first_tag"), (F.col("run_start") + F.col("left_shift")).alias("first_at")),
         F.struct(F.lit(1).alias("side"), F.col("run_end").alias("at"), F.col("right_tag").alias("first_tag"), (F.col("run_end") + F.col("right_shift")).alias("first_at"))))
     open_ends = stage(parts.join(whole, [*key, "run"]).select(*key, "run", "first_doc_id", ends.alias("e")).select(*key, "run", "first_doc_id", "e.*"), "run-open")
-    before, found = BEFORE, []
+    before, behind, found = BEFORE, BEHIND, []
     while True:
-        found.append(stage(run_ends(open_ends, docs, before), "run-ends"))
+        found.append(stage(run_ends(open_ends, docs, before, behind), "run-ends"))
         more = found[-1].filter("more")
         if not more.limit(1).count():
             break
         # Few texts agree for longer; they are looked at again, and their first answer is outdone by the next.
         open_ends = stage(open_ends.join(more.select(*key, "run", "side", "first_doc_id"), [*key, "run", "side", "first_doc_id"], "left_semi"), "run-open")
-        before *= WIDER
+        before, behind = before * WIDER, behind * WIDER
     reached = found[0]
     for wider in found[1:]:
         reached = reached.unionByName(wider)

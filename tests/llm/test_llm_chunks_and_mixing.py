@@ -79,6 +79,18 @@ def test_short_words_and_texts_without_blanks_are_found_to_their_ends(docs_of):
         assert (texts[i][r["start"] : r["end"]], r["n_words"]) == truth[i] and r["first_doc_id"] == i - 1
 
 
+def test_ends_are_the_same_however_little_is_compared_at_first(docs_of, prose, monkeypatch):
+    passage = prose(80, 41)
+    rows = [(2 * i + k, f"{prose(20, 100 + i)}{'XY'[k]} {passage[i * 7 :]} {'VW'[k]}{prose(20, 200 + i + k)}") for i in range(12) for k in (0, 1)]
+    rows += [(90, "la " * 300), (91, "no " + "la " * 300), (92, "la " * 299 + "end of it"), (93, prose(300, 7)), (94, prose(300, 7) + " more")]
+    docs = docs_of(rows)
+    want = sorted(map(tuple, chunk_dedup.repeated_passages(docs).collect()))
+    assert {r[0] for r in want} >= {2 * i + 1 for i in range(12)} | {91, 92, 94}
+    monkeypatch.setattr(chunk_dedup, "BEFORE", 3)
+    monkeypatch.setattr(chunk_dedup, "BEHIND", 2)
+    assert sorted(map(tuple, chunk_dedup.repeated_passages(docs).collect())) == want
+
+
 def test_an_insertion_moves_only_the_cuts_beside_it(prose):
     text = prose(2000, 3)
     a = chunk_dedup.chunks_of([text])
