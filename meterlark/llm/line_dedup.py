@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SHORTEST_KEY = 10
-# A line shared by a third of all documents is spread over this many ranges by its document.
-SPREAD = 32
 
 _BLANK = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,7 +30,9 @@ def line_key(line: Column) -> Column:
 def hashed_lines(docs: DataFrame, shortest: int = SHORTEST_KEY) -> DataFrame:
     """(h1, h2, doc_id, text_key, pos) of every line whose key is long enough."""
     text = whole_text()
-    lines = docs.select("doc_id", F.xxhash64(text).alias("text_key"), F.posexplode(lines_of(text)).alias("pos", "line"))
+    # The hash of the text comes first: beside the lines it would be computed anew for every one of them.
+    whole = docs.select("doc_id", F.xxhash64(text).alias("text_key"), lines_of(text).alias("lines"))
+    lines = whole.select("doc_id", "text_key", F.posexplode("lines").alias("pos", "line"))
     keyed = lines.select("doc_id", "text_key", "pos", line_key(F.col("line")).alias("key")).filter(F.length("key") >= shortest)
     return keyed.select(
         F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "text_key", "pos"
@@ -43,11 +43,11 @@ def dropped_lines(lines: DataFrame, tasks: int) -> DataFrame:
     """(doc_id, text_key, pos) of the lines whose key a smaller document holds.
 
     Twice the same step: hashes are dealt out by range, sorted by document and position, and the first
-    document of each hash streams by. First within one of ``SPREAD`` groups of documents, so that no range
-    holds a hot line alone; then among the groups' first documents, at most ``SPREAD`` per hash.
+    document of each hash streams by. First within one of as many groups of documents as there are ranges, so that a line of
+    all documents is no more than its share of rows in each; then among the groups' first documents, one per group and hash.
     A null doc_id counts as one document behind all others.
     """
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)).cast("int"))
+    salted = lines.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(tasks)).cast("int"))
 
     def behind_first(df: DataFrame, *keys: str) -> DataFrame:
         ordered = Window.partitionBy(*keys).orderBy(F.col("doc_id").asc_nulls_last(), "text_key", "pos")
@@ -61,27 +61,28 @@ def dropped_lines(lines: DataFrame, tasks: int) -> DataFrame:
 
 
 def run_lengths(dropped: Column, total: Column) -> Column:
-    """Lengths of alternating runs of kept and dropped lines, the first run being kept (perhaps of length 0)."""
-    start = F.struct(F.lit(0).alias("next"), F.expr("cast(array(0) as array<int>)").alias("runs"))
-
-    def step(acc: Column, pos: Column) -> Column:
-        gap = pos - acc["next"]
-        # The last run is one of dropped lines after the first step; a gap closes it.
-        grown = F.concat(
-            F.slice(acc["runs"], F.lit(1), F.size(acc["runs"]) - 1), F.array(F.element_at(acc["runs"], -1) + 1)
-        )
-        opened = F.concat(
-            F.when(acc["next"] == 0, F.array(gap)).otherwise(F.concat(acc["runs"], F.array(gap))), F.array(F.lit(1))
-        )
-        return F.struct(
-            (pos + 1).alias("next"), F.when((gap == 0) & (acc["next"] > 0), grown).otherwise(opened).alias("runs")
-        )
-
-    runs = F.aggregate(dropped, start, step, lambda acc: F.struct(acc["next"].alias("next"), acc["runs"].alias("runs")))
-    tail = total - runs["next"]
-    return F.when(F.size(dropped) == 0, F.array(total)).otherwise(
-        F.when(tail > 0, F.concat(runs["runs"], F.array(tail))).otherwise(runs["runs"])
-    )
+    """Lengths of alternating runs of kept and dropped lines, the first run being kept (perhaps of length 0).
+
+    Each position is compared with its neighbours by index, so the work is linear in the lines. A value that every step
+    looks at is bound once, as the only element of an array.
+    """
+
+    def bound(value: Column, then) -> Column:
+        return F.transform(F.array(value), then)[0]
+
+    def edges(lines: Column) -> Column:
+        """First and last positions of the runs of dropped lines."""
+        first = F.filter(lines, lambda p, i: (i == 0) | (F.get(lines, i - 1) != p - 1))
+        last = F.filter(lines, lambda p, i: (i == F.size(lines) - 1) | (F.get(lines, i + 1) != p + 1))
+        return F.struct(first.alias("first"), last.alias("last"))
+
+    def lengths(e: Column) -> Column:
+        pairs = F.transform(e["first"], lambda p, i: F.array(
+            p - F.when(i == 0, F.lit(0)).otherwise(F.get(e["last"], i - 1) + 1), F.get(e["last"], i) - p + 1))
+        tail = total - F.element_at(e["last"], -1) - 1
+        return F.when(tail > 0, F.concat(F.flatten(pairs), F.array(tail))).otherwise(F.flatten(pairs))
+
+    return F.when(F.size(dropped) == 0, F.array(total)).otherwise(bound(dropped, lambda lines: bound(edges(lines), lengths)))
 
 
 def keep_bitmaps(docs: DataFrame, shortest: int = SHORTEST_KEY, tasks: int | None = None) -> DataFrame:

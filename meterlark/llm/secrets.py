@@ -2,7 +2,7 @@
 
 Strong patterns are reported wherever they match. Weaker ones (account names, short assigned values, long
 base64 runs, endpoints) are common in clean text and are reported only where the complementary part of a
-credential stands within reach: an identifier beside a secret, an endpoint beside such a pair.
+credential stands within reach: an identifier or an endpoint beside a secret, an endpoint beside an identifier with a secret.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ ROLES = {
 RANK = {kind: i for i, (kind, *_) in enumerate(STRONG + WEAK)}
 # Parts of one credential lie at most this many code points apart.
 REACH = 200
+# Matches of a text whose places are added up in one array; more go into further blocks, so a text of only matches stays cheap.
+BLOCK = 256
 
 SPAN = "struct<kind string, start long, end long>"
 
@@ -46,28 +48,43 @@ def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Colu
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     held = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    steps = F.arrays_zip(
+    steps = F.filter(F.arrays_zip(
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(found, F.length).alias("size"),
         F.transform(held, F.length).alias("held"),
-    )
+    ), lambda s: s["size"].isNotNull())
     none = F.expr(f"cast(array() as array<{SPAN}>)")
-    walked = F.aggregate(
-        F.filter(steps, lambda s: s["size"].isNotNull()),
-        F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + s["size"]).alias("at"),
-            F.when(
-                s["held"] >= least,
-                F.concat(acc["out"], F.array(F.struct(
-                    F.lit(kind).alias("kind"), (acc["at"] + s["gap"]).cast("long").alias("start"),
-                    (acc["at"] + s["gap"] + s["size"]).cast("long").alias("end"),
-                ).cast(SPAN))),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+    zero = F.lit(0).cast("long")
+
+    def block(some: Column, at: Column) -> Column:
+        """The spans of a block of matches that begins behind ``at`` code points."""
+        return F.aggregate(
+            some,
+            F.struct(at.alias("at"), none.alias("out")),
+            lambda acc, s: F.struct(
+                (acc["at"] + s["gap"] + s["size"]).alias("at"),
+                F.when(
+                    s["held"] >= least,
+                    F.concat(acc["out"], F.array(F.struct(
+                        F.lit(kind).alias("kind"), (acc["at"] + s["gap"]).cast("long").alias("start"),
+                        (acc["at"] + s["gap"] + s["size"]).cast("long").alias("end"),
+                    ).cast(SPAN))),
+                ).otherwise(acc["out"]).alias("out"),
+            ),
+            lambda acc: acc["out"],
+        )
+
+    def part(every: Column, n: Column) -> Column:
+        return F.slice(every, n * BLOCK + 1, F.lit(BLOCK))
+
+    def walked(every: Column) -> Column:
+        """Blocks know how long those before them are, so an array grows within its block only."""
+        numbers = F.sequence(F.lit(0), F.floor((F.size(every) - 1) / BLOCK).cast("int"))
+        sizes = F.transform(numbers, lambda n: F.aggregate(part(every, n), zero, lambda sum_, s: sum_ + s["gap"] + s["size"]))
+        return F.transform(F.array(sizes), lambda known: F.flatten(F.transform(
+            numbers, lambda n: block(part(every, n), F.aggregate(F.slice(known, F.lit(1), n), zero, lambda sum_, s: sum_ + s)))))[0]
+
+    return F.when(text.rlike(pattern), F.transform(F.array(steps), walked)[0]).otherwise(none)
 
 
 def ranked(span: Column) -> Column:
@@ -96,13 +113,13 @@ def linked_spans(parts: DataFrame, reach: int = REACH) -> DataFrame:
     """doc_id, text_key, linked: the weak spans of each document that complementary parts confirm.
 
     ``parts``: doc_id, text_key, base and weak. The scope of a credential is its document. An interval join on cells of the
-    reach: a part stands in the cell of its start, and the other in every cell its widened interval touches, so a pair within reach
-    meets in exactly one cell and no other pair of the document is formed. Only parts of documents that hold both roles are joined.
+    reach: a part stands in every cell it touches, and the other in every cell its widened interval touches, so a pair within reach
+    meets in one cell or more, and only near parts of a document are paired. Only documents that hold a secret and another role are joined.
     """
     every = F.concat("base", "weak")
     role_of = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
     roles = F.transform(every, lambda s: role_of[s["kind"]])
-    both = F.array_contains(roles, "identifier") & F.array_contains(roles, "secret")
+    both = F.array_contains(roles, "secret") & (F.array_contains(roles, "identifier") | F.array_contains(roles, "endpoint"))
     part = (
         parts.filter((F.size("weak") > 0) & both).select("doc_id", "text_key", every.alias("spans")).distinct()
         .select("doc_id", "text_key", F.explode("spans").alias("s"))
@@ -124,14 +141,18 @@ def linked_spans(parts: DataFrame, reach: int = REACH) -> DataFrame:
         apart = (F.col("end") <= F.col("o_start")) | (F.col("o_end") <= F.col("start"))
         return a.join(b, on & within & apart).drop("cell", "o_cell").distinct()
 
-    pairs = near(part.filter("role = 'identifier'").drop("role"), part.filter("role = 'secret'").drop("role"))
+    identifiers, found, endpoints = (part.filter(F.col("role") == r).drop("role") for r in ("identifier", "secret", "endpoint"))
+    pairs = near(identifiers, found)
+    guarded = near(endpoints, found)
     credential = pairs.select("doc_id", "text_key", F.least("start", "o_start").alias("start"), F.greatest("end", "o_end").alias("end")).distinct()
-    ends = near(part.filter("role = 'endpoint'").drop("role"), credential)
+    ends = near(endpoints, credential)
     columns = ("doc_id", "text_key", "kind", "start", "end")
     linked = (
         pairs.select(*columns)
         .unionByName(pairs.select("doc_id", "text_key", *[F.col(f"o_{c}").alias(c) for c in columns[2:]]))
         .unionByName(ends.select(*columns))
+        .unionByName(guarded.select(*columns))
+        .unionByName(guarded.select("doc_id", "text_key", *[F.col(f"o_{c}").alias(c) for c in columns[2:]]))
         .filter(~F.col("kind").isin([kind for kind, *_ in STRONG]))
     )
     return linked.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("kind", "start", "end")).cast(f"array<{SPAN}>").alias("linked"))

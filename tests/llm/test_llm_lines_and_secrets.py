@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -87,7 +88,29 @@ def test_weak_parts_count_only_together(docs_of):
     out = secrets.scan(docs_of(rows).withColumn("linked", F.lit(0)).withColumn("base", F.lit(0)))
     got = sorted((r["doc_id"], tuple(sorted(s["kind"] for s in r["linked"]))) for r in out.collect())
     assert got == [
-        (1, ("name", "value")), (2, ()), (3, ()), (4, ("endpoint", "name", "value")), (5, ("name", "value")), (6, ()), (7, ("blob",)),
+        (1, ("name", "value")), (2, ()), (3, ()), (4, ("endpoint", "name", "value")), (5, ("name", "value")), (6, ("host", "value")), (7, ("blob",)),
         (8, ("name", "value")), (8, ("name", "value")),
     ]
     assert secrets.scan(docs_of([])).count() == 0
+
+
+def test_texts_of_very_many_dropped_lines_take_seconds(spark, docs_of):
+    """Every other line is dropped: as many runs as lines."""
+    n = 200_000
+    shared = "\n".join(f"shared line number {i:07d}" for i in range(0, n, 2))
+    mixed = "\n".join(f"shared line number {i:07d}" if i % 2 == 0 else f"own {i}" for i in range(n))
+    start = time.time()
+    rows = {r["doc_id"]: r for r in line_dedup.dedup_lines(docs_of([(1, shared), (2, mixed)])).collect()}
+    assert time.time() - start < 60
+    assert rows[1]["n_dropped"] == 0 and rows[1]["keep_runs"] == [n // 2]
+    assert rows[2]["n_dropped"] == n // 2 and rows[2]["keep_runs"] == [0] + [1] * n
+    assert rows[2]["kept_text"] == "\n".join(f"own {i}" for i in range(1, n, 2))
+
+
+def test_texts_of_very_many_matches_take_seconds(spark, docs_of):
+    n = 200_000
+    text = "".join(f"token=abcdef{'g' * (i % 3)} " for i in range(n))
+    start = time.time()
+    (row,) = secrets.scan(docs_of([(1, text)])).select(secrets.listing(F.col("base")).alias("b")).collect()
+    assert time.time() - start < 60
+    assert row["b"] == brute_base(text) and row["b"].count(":") == 2 * n
