@@ -1,10 +1,10 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A document is the sequence of the first occurrences of its five-word shingles, so that no two are
-equal (after Marcais et al., "Locality-sensitive hashing for the edit distance", 2019). A table of the sketch samples the
-``SAMPLED`` shingles with the smallest hashes and keeps them in the order of the text; documents that agree
-on one table are candidates. The similarity of two documents is that of their best alignment: shingles of the same sequences
-matched in common order, over the distinct shingles of both.
+A document is the sequence of its five-word shingles, each labelled with its occurrence (the first, the second and so on), so that no two
+are equal (after Marcais et al., "Locality-sensitive hashing for the edit distance", 2019). A table of the sketch samples the
+``SAMPLED`` labelled shingles with the smallest hashes and keeps them in the order of the text; documents that agree
+on one table are candidates. The similarity of two documents is that of their best alignment over all occurrences: shingles matched in
+common order, over all shingles of both less the matched ones.
 """
 
 from __future__ import annotations
@@ -37,14 +37,8 @@ COUNTED = 4096
 _SALTS = mix(np.arange(1, TABLES + 1, dtype=U64) * U64(BASES[0])) | U64(1)
 
 
-def labelled(hashes: np.ndarray, k: int = WORDS, repeats: bool = True) -> np.ndarray:
-    """Shingles of one text's word hashes, each made unique by its occurrence: the first, second, fourth, eighth and so on.
-
-    A word repeated for half a text is one shingle hundreds of times. With every occurrence it would outweigh all else, and
-    texts that share nothing but such a run would be alike; with these it weighs as the logarithm of its length. Without
-    ``repeats`` only first occurrences remain.
-    """
-    s = shingles(hashes, k)
+def labelled(s: np.ndarray) -> np.ndarray:
+    """The shingles of one text, each made unique by its occurrence."""
     order = np.argsort(s, kind="stable")
     ordered = s[order]
     new = np.append(True, ordered[1:] != ordered[:-1]) if len(s) else np.zeros(0, dtype=bool)
@@ -53,8 +47,7 @@ def labelled(hashes: np.ndarray, k: int = WORDS, repeats: bool = True) -> np.nda
     at = np.arange(len(s))
     before = np.empty(len(s), dtype=np.int64)
     before[order] = at - np.maximum.accumulate(np.where(new, at, 0))
-    counted = before & (before + 1) == 0 if repeats else before == 0
-    return mix(s[counted] + before[counted].astype(U64) * U64(BASES[0]))
+    return mix(s + before.astype(U64) * U64(BASES[0]))
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -68,12 +61,33 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return mix(out + U64(taken))
 
 
+def in_common_order(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """The most shingles that two texts hold in common order, no matched pair of places further apart than the band.
+
+    Columns of the alignment table are bits of one number, so a row is a few operations on whole numbers; a shingle's bits outside
+    the band of its row are left out.
+    """
+    places: dict[int, int] = {}
+    for i, h in enumerate(a.tolist()):
+        places[h] = places.get(h, 0) | 1 << i
+    every = (1 << len(a)) - 1
+    width, open_ = (1 << (2 * band + 1)) - 1, every
+    for j, h in enumerate(b.tolist()):
+        hit = places.get(h, 0)
+        hit &= width << (j - band) if j >= band else width >> (band - j)
+        if hit:
+            met = open_ & hit
+            open_ = ((open_ + met) | (open_ - met)) & every
+    return len(a) - open_.bit_count()
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST_SIMILARITY) -> float:
-    """Matched shingles of two texts (first occurrences in order) over all, by the longest common order within a band; 0 when
-    ``least`` is out of reach.
+    """Matched shingles of two texts (all occurrences, in common order) over all, by alignment within a band; 0 when ``least`` is out of reach.
 
     Two sequences that reach ``least`` shift no matched shingle by more than (1 - least) of the longer one, so the band loses
-    no alignment that counts. First occurrences match at most once, which makes the alignment a longest increasing run.
+    no alignment that counts. Labelled shingles match at most once, which makes their alignment a longest increasing run; it is never more than
+    the best one, and is the answer where it reaches ``least`` or no shingle is repeated. Else an occurrence may match one of
+    another number, and the shingles are aligned as they are.
     """
     if not len(a) or not len(b):
         return 0.0
@@ -83,24 +97,27 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = LEAST_SIMILARITY) ->
 
     if share(min(len(a), len(b))) < least:
         return 0.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    band = int((1 - least) * max(len(a), len(b))) + 1
-    near = np.abs(i - j) <= band
-    i, j = i[near], j[near]
+    x, y = labelled(a), labelled(b)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    # Labels that both hold are as many as the occurrences that could match at all.
     if share(len(i)) < least:
         return 0.0
+    band = int((1 - least) * max(len(a), len(b))) + 1
+    near = np.abs(i - j) <= band
     run: list[int] = []
-    for place in j[np.argsort(i)].tolist():
+    for place in j[near][np.argsort(i[near])].tolist():
         at = bisect_left(run, place)
         run[at : at + 1] = [place]
-    return share(len(run))
+    if share(len(run)) >= least or len(np.unique(a)) == len(a) and len(np.unique(b)) == len(b):
+        return share(len(run))
+    return share(in_common_order(a, b, band))
 
 
 SKETCHES = "doc_id long, text_key long, h1 long, h2 long, size int, sketch array<long>"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Digest of the words, number of distinct shingles and sketch of every document that has a doc_id and a word."""
+    """Digest of the words, number of shingles and sketch of every document that has a doc_id and a word."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in buffers(frames):
@@ -109,7 +126,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             for n, (doc_id, key) in enumerate(zip(frame["doc_id"], frame["text_key"])):
                 own = words[place[n] : place[n + 1]]
                 if len(own):
-                    s = labelled(own, repeats=False)
+                    s = labelled(shingles(own, WORDS))
                     at = np.arange(1, len(own) + 1, dtype=U64)
                     digest = [int(mix(own * mix(at + U64(b))).sum(dtype=U64).view(np.int64)) for b in (0, BASES[1])]
                     rows.append((doc_id, key, *digest, len(s), sketch(s).view(np.int64)))
@@ -145,7 +162,7 @@ def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
             one, at_one = Buffer(frame["a_text"].tolist()).word_hashes()
             two, at_two = Buffer(frame["text"].tolist()).word_hashes()
             similar = [
-                similarity(*(labelled(w[at[n] : at[n + 1]], repeats=False) for w, at in ((one, at_one), (two, at_two))), least) >= least
+                similarity(*(shingles(w[at[n] : at[n + 1]], WORDS) for w, at in ((one, at_one), (two, at_two))), least) >= least
                 for n in range(len(frame))
             ]
             yield frame.loc[similar, ["a", "b"]]
@@ -229,11 +246,11 @@ def common(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.ndarray
 def compared(frame: pd.DataFrame, least: float) -> pd.DataFrame:
     """Similar pairs (a, b) of one pair of blocks that connect all groups which any of its similar pairs connects.
 
-    Rows of ``frame`` on side 0 meet those on side 1; a block that meets itself has side 0 only. The set similarity is never below
-    that of the alignment, so only pairs that reach ``least`` by it are aligned.
+    Rows of ``frame`` on side 0 meet those on side 1; a block that meets itself has side 0 only. The similarity of the labelled sets is
+    never below that of the alignment, so only pairs that reach ``least`` by it are aligned.
     """
     words, place = Buffer(frame["text"].tolist()).word_hashes()
-    texts = [labelled(words[place[n] : place[n + 1]], repeats=False) for n in range(len(frame))]
+    texts = [shingles(words[place[n] : place[n + 1]], WORDS) for n in range(len(frame))]
     side, sizes = frame["side"].to_numpy(), np.array([len(t) for t in texts])
     ids, groups, home = frame["id"].to_numpy(), frame["group"].to_numpy(), frame["home"].to_numpy(dtype=bool)
     same = bool(frame["own"].iloc[0] == frame["other"].iloc[0])
@@ -241,7 +258,7 @@ def compared(frame: pd.DataFrame, least: float) -> pd.DataFrame:
     y = x if same else np.flatnonzero(side == 1)
     links: list[tuple[int, int]] = []
     if len(x) and len(y):
-        shared = common([texts[n] for n in x], None if same else [texts[n] for n in y])
+        shared = common([labelled(texts[n]) for n in x], None if same else [labelled(texts[n]) for n in y])
         near = shared / (sizes[x][:, None] + sizes[y] - shared) >= least
         # Two documents that are both guests of a window meet in their own.
         near &= (groups[x][:, None] != groups[y]) & (home[x][:, None] | home[y])
@@ -340,11 +357,17 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
     return out.select("doc_id", class_id.alias("class_id"), F.coalesce(class_id == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def keep_first(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+def keep_first(docs: DataFrame, least: float = LEAST_SIMILARITY, one_blank: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns, of the documents that are the smallest of their class.
 
-    Rows that share a doc_id are one document and stay or go together; see ``near_duplicates``.
+    Rows that share a doc_id are one document and stay or go together; see ``near_duplicates``. Documents without a word are each
+    alone and stay, unless ``one_blank`` makes them one class.
     """
-    later = classes_of(docs, least).filter("class < _id").select("_id").distinct()
+    later = classes_of(docs, least).filter("class < _id").select("_id")
+    if one_blank:
+        worded = F.coalesce("text", F.lit("")).rlike(r"[^\t-\r\x1c- ]")
+        blank = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or(worded).alias("worded")).filter("NOT worded")
+        smallest = blank.agg(F.min("_id")).first()[0]
+        later = later.unionByName(blank.filter(F.col("_id") > F.lit(smallest)).select("_id"))
     rows = docs.select(F.struct("*").alias("row"), "doc_id")
-    return rows.join(later.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_anti").select("row.*")
+    return rows.join(later.distinct().hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_anti").select("row.*")

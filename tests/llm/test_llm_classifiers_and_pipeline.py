@@ -159,11 +159,11 @@ def test_the_pipeline_equals_its_stages_by_brute_force(corpus, docs_of, prose, s
         if 1000 <= i < 1020 and i != first:
             assert lines["text"][i] == start[i].split("\n")[1] and lines["n_chars"][i] == len(lines["text"][i])
     ids = sorted(clean)
-    s = {i: order_minhash.labelled(order_minhash.Buffer([lines["text"][i] or ""]).word_hashes()[0], repeats=False) for i in ids}
+    s = {i: order_minhash.shingles(order_minhash.Buffer([lines["text"][i] or ""]).word_hashes()[0], order_minhash.WORDS) for i in ids}
     group = {i: i for i in ids}
     for n, i in enumerate(ids):
         for j in ids[:n]:
-            if order_minhash.similarity(s[i], s[j]) >= 0.8:
+            if order_minhash.similarity(s[i], s[j]) >= 0.8 or not len(s[i]) and not len(s[j]):
                 low, high = sorted((group[i], group[j]))
                 group = {k: low if g == high else g for k, g in group.items()}
     near = frames["near_duplicates"]
