@@ -35,8 +35,8 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the smallest doc_id."""
-    return order_minhash.keep_first(docs)
+    """One document of each class of near-duplicates, the one with the smallest doc_id; what the line stage emptied is one class too."""
+    return order_minhash.keep_first(docs, one_blank=True)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
