@@ -475,6 +475,15 @@ oracle(
             FROM featured , (SELECT regr_intercept(ln(1 + trip_duration), trip_distance_km) AS a, regr_slope(ln(1 + trip_duration), trip_distance_km) AS b
                 FROM featured WHERE NOT {IN_TEST}) f WHERE {IN_TEST})""",
 )
+oracle(
+    "m3_silhouette",
+    f"""SELECT count(*) AS n, {r('avg(CASE WHEN a IS NULL THEN 0.0::DOUBLE ELSE (b - a) / greatest(a, b) END)')} AS silhouette
+    FROM (SELECT id, max(d * k.n / (k.n - 1)) FILTER (WHERE k.zone = p.zone AND k.n > 1) AS a, min(d) FILTER (WHERE k.zone <> p.zone) AS b
+        FROM (SELECT id, pickup_zone AS zone, pickup_latitude AS x, pickup_longitude * 0.757::DOUBLE AS y FROM zoned ) p,
+            (SELECT pickup_zone AS zone, count(*) AS n, avg(pickup_latitude) AS mx, avg(pickup_longitude * 0.757::DOUBLE) AS my,
+                var_pop(pickup_latitude) + var_pop(pickup_longitude * 0.757::DOUBLE) AS v FROM zoned GROUP BY 1) k,
+            LATERAL (SELECT (x - mx) * (x - mx) + (y - my) * (y - my) + v AS d) GROUP BY id)""",
+)
 # The sixteen features in the order in which a tree counts them, from 0.
 FEATURE_NAMES = (
     "pickup_hour", "pickup_weekday", "pickup_is_weekend", "pickup_is_rush_hour", "pickup_hour_sin", "pickup_hour_cos", "pickup_weekday_sin",

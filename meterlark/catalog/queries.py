@@ -613,6 +613,14 @@ def m3_k_sweep(spark, sf_dir):
     return rounded(zone_fit.sweep_zones(clean(spark, sf_dir), [5, 10], inits=1, iterations=10))
 
 
+@query
+def m3_silhouette(spark, sf_dir):
+    """The silhouette of all trips in the fixed zones."""
+    plane = stage(zoned(spark, sf_dir).select(
+        F.col("pickup_latitude").alias("north"), (F.col("pickup_longitude") * F.lit(fixed_zones().longitude_factor)).alias("east"), "pickup_zone"), "plane")
+    return rounded(zone_fit.silhouette_of_all(plane))
+
+
 @query
 def m8_demand_models(spark, sf_dir):
     train, test, _ = splits.chronological_split(stage(hourly(spark, sf_dir), "hourly"))

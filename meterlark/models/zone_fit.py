@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterlark import params
 from meterlark.operators.encoding import assemble
@@ -85,14 +85,44 @@ def silhouette(spark: SparkSession, points: DataFrame, label: str = "pickup_zone
     return float(places.mapInPandas(widths, "width double").agg(F.avg("width")).first()[0])
 
 
+def silhouette_of_all(points: DataFrame, label: str = "pickup_zone") -> DataFrame:
+    """(n, silhouette): the mean silhouette of all points by squared Euclidean distances over (north, east, label).
+
+    The mean squared distance of a point to a cluster is its squared distance to the cluster's centre plus the cluster's variance, so
+    one aggregate to a row per cluster and one pass over the points do; no two points meet. A point alone in its cluster counts 0.
+    """
+    known = points.filter(F.col(label).isNotNull() & F.col("north").isNotNull() & F.col("east").isNotNull())
+    clusters = known.groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("north").alias("north"), F.avg("east").alias("east"),
+        (F.var_pop("north") + F.var_pop("east")).alias("spread")).orderBy(label).collect()
+    if len(clusters) < 2:
+        raise ValueError("a silhouette needs two clusters or more")
+
+    def distance(c) -> Column:
+        return (F.col("north") - c["north"]) ** 2 + (F.col("east") - c["east"]) ** 2 + F.lit(c["spread"])
+
+    inside, outside = F.lit(None).cast("double"), []
+    for c in clusters:
+        own = F.col(label) == c[label]
+        # A point is no distance from itself: the mean is over the others.
+        inside = F.when(own, distance(c) * (c["n"] / (c["n"] - 1)) if c["n"] > 1 else F.lit(None).cast("double")).otherwise(inside)
+        outside.append(F.when(~own, distance(c)))
+    pair = known.select(inside.alias("a"), F.least(*outside).alias("b"))
+    width = F.when(F.col("a").isNull(), 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return pair.agg(F.count(F.lit(1)).alias("n"), F.avg(width).alias("silhouette"))
+
+
 def sweep_zones(
     df: DataFrame, k_values: Sequence[int], key: str = "id", sample: int = 100_000, seed: int = params.SEED,
-    inits: int = params.ZONE_INITS, iterations: int = 300, silhouette_rows: int = SILHOUETTE_ROWS,
+    inits: int = params.ZONE_INITS, iterations: int = 300, silhouette_rows: int | None = SILHOUETTE_ROWS,
 ) -> DataFrame:
-    """(k, inertia, silhouette) for choosing the number of zones: fitted on a seeded sample, the silhouette on one of that."""
+    """(k, inertia, silhouette) for choosing the number of zones: fitted on a seeded sample, the silhouette on one of that.
+
+    ``silhouette_rows`` None: the silhouette of all rows of ``df`` by squared distances instead of plain ones of a sample.
+    """
     spark = df.sparkSession
     drawn = stage(sample_rows(df.select(key, "pickup_latitude", "pickup_longitude"), sample, key, seed), "zone-sample")
-    few = sample_rows(drawn, silhouette_rows, key, seed + 1)
+    few = df if silhouette_rows is None else sample_rows(drawn, silhouette_rows, key, seed + 1)
     rows = []
     for k in k_values:
         zones = fit_zones(drawn, k, seed, inits, iterations)
@@ -101,5 +131,6 @@ def sweep_zones(
             (F.col("pickup_longitude") * F.lit(zones.longitude_factor)).alias("east"),
             "pickup_zone",
         )
-        rows.append((int(k), zones.inertia, silhouette(spark, labelled, most=silhouette_rows)))
+        found = silhouette_of_all(labelled).first()["silhouette"] if silhouette_rows is None else silhouette(spark, labelled, most=silhouette_rows)
+        rows.append((int(k), zones.inertia, found))
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")

@@ -10,12 +10,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterlark import params
 from meterlark.functions.numeric import to_log
+from meterlark.session import stage
+
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
-    """(value, code): the distinct non-null values, numbered from 0 in order."""
+    """(value, code): the distinct non-null values, numbered from 0 in order.
+
+    The values are dealt out by ranges and written once with the number of their range, so that every later read agrees on it. A
+    value's code is the number of values in lower ranges, one sum over as many rows as there are ranges, and its place in
+    its own: no task holds more than a range.
+    """
     values = df.select(F.col(column).cast("string").alias("value")).filter("value IS NOT NULL").distinct()
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("value"))
-    return values.select("value", (place - 1).alias("code"))
+    ranged = stage(values.repartitionByRange("value").withColumn("part", F.spark_partition_id()), "categories")
+    below = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(below), F.lit(0)).alias("lower"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("value"))
+    return ranged.withColumn("place", place).join(offsets, "part").select("value", (F.col("lower") + F.col("place") - 1).alias("code"))
 
 
 def mapped_code(column: Column, codes: Mapping) -> Column:

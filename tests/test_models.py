@@ -10,8 +10,9 @@ from meterlark.models.extra_trees import ExtraTrees
 from meterlark.models.isolation import IsolationForest, usual_path
 from meterlark.models.ridge import fit_ridge
 from meterlark.models.stacking import Stacking, base_models, fit_stacking, out_of_fold
-from meterlark.models.zone_fit import fit_zones, silhouette
+from meterlark.models.zone_fit import fit_zones, silhouette, silhouette_of_all
 from meterlark.operators.anomaly import flag_share, flagged_summary, top_anomalies
+from meterlark.operators.encoding import category_codes
 from meterlark.operators.zones import ZoneModel
 from meterlark.session import stage
 from meterlark.sources.models import load_model, save_model
@@ -193,3 +194,26 @@ def test_zones_find_separate_clusters(spark, tmp_path):
     assert sorted(round(a, 1) for a, _ in zones.centroids) == [40.5, 40.7, 40.9] and zones.inertia < 1
     save_model(spark, zones, str(tmp_path / "z"))
     assert load_model(spark, str(tmp_path / "z"), ZoneModel) == zones
+
+
+def test_silhouette_of_all_points_equals_all_pairs(spark):
+    rng = np.random.default_rng(2)
+    xy = np.concatenate([rng.normal(c, 0.4, size=(25, 2)) for c in ((0, 0), (2, 1), (5, 5))] + [[[9.0, 9.0]]])
+    zone = [0] * 25 + [1] * 25 + [2] * 25 + [3]
+    df = spark.createDataFrame([(float(x), float(y), z) for (x, y), z in zip(xy, zone)] + [(None, 1.0, 0), (1.0, 1.0, None)], "north double, east double, pickup_zone int")
+    gap, z, widths = ((xy[:, None] - xy[None]) ** 2).sum(axis=2), np.array(zone), []
+    for i in range(len(xy)):
+        own = (z == z[i]) & (np.arange(len(xy)) != i)
+        a, b = (gap[i][own].mean() if own.any() else None), min(gap[i][z == k].mean() for k in set(zone) - {zone[i]})
+        widths.append(0.0 if a is None else (b - a) / max(a, b))
+    row = silhouette_of_all(df).first()
+    assert row["n"] == len(xy) and row["silhouette"] == pytest.approx(np.mean(widths))
+
+
+def test_many_categories_are_numbered_in_order(spark):
+    n = 200_000
+    df = spark.range(n).select(F.concat(F.lit("c"), F.lpad((F.col("id") * 7919 % n).cast("string"), 7, "0")).alias("v"))
+    codes = category_codes(df.unionByName(df).unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS v")), "v")
+    wrong = codes.filter(F.substring("value", 2, 7).cast("long") != F.col("code")).count()
+    assert codes.count() == n and wrong == 0
+    assert category_codes(df.limit(0), "v").count() == 0
