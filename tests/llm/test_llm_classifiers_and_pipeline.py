@@ -181,7 +181,8 @@ def test_sql_of_the_queries_that_have_one(spark):
     import duckdb
 
     con, sf = duckdb.connect(), "/root/testdata/sf0.001"
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for name in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
     for name, sql in queries.ORACLES.items():
         df, found = queries.QUERIES[name](spark, sf), con.execute(sql)
         names = [c[0] for c in found.description]
