@@ -719,3 +719,6 @@ oracle(
     + ") AS violations FROM requests",
 )
 oracle("st1_stream_counts", "SELECT pickup_zone::BIGINT AS pickup_zone, hour, n AS pickup_count FROM counts")
+ORACLES["st1_kept_history"] = ORACLES["w4_demand_dataset"]
+ORACLES["st2_completed_scores"] = ORACLES["q8_completed_scores"]
+ORACLES["st2_unified"] = ORACLES["q14_unified"]

@@ -21,6 +21,7 @@ from meterlark.session import shared_folder, stage
 from meterlark.sources import tables, trips as trip_files
 from meterlark.sources.event_trips import fixed_zones, load_trips, requests_from_trips
 from meterlark.sources.models import load_model, save_model
+from meterlark.streaming.history import keep_history, kept_history, read_scores, score_with_history
 from meterlark.streaming.requests import hourly_counts, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -815,19 +816,20 @@ def q13_insight(spark, sf_dir):
     return _unified(spark, sf_dir, _lazy_history).select("request_id", "operational_insight")
 
 
+def _unified_columns(scored):
+    return scored.select(
+        "request_id", "request_mode",
+        F.col("duration.predicted_duration_seconds").alias("duration_seconds"),
+        F.col("demand.predicted_pickup_count").alias("pickups"),
+        F.col("demand.zone_id").alias("zone"),
+        F.col("anomaly.anomaly_score").alias("score"),
+        F.col("anomaly.is_anomaly").alias("flagged"),
+    )
+
+
 @query
 def q14_unified(spark, sf_dir):
-    return rounded(
-        _unified(spark, sf_dir).select(
-            "request_id", "request_mode",
-            F.col("duration.predicted_duration_seconds").alias("duration_seconds"),
-            F.col("demand.predicted_pickup_count").alias("pickups"),
-            F.col("demand.zone_id").alias("zone"),
-            F.col("anomaly.anomaly_score").alias("score"),
-            F.col("anomaly.is_anomaly").alias("flagged"),
-        ),
-        4,
-    )
+    return rounded(_unified_columns(_unified(spark, sf_dir)), 4)
 
 
 @query
@@ -838,25 +840,40 @@ def q15_constraints(spark, sf_dir):
 
 # --- streams ------------------------------------------------------------------------------------
 
-@query
-def st1_stream_counts(spark, sf_dir):
-    """The batch counts, from a stream of the cleaned trips; every hour that closed is emitted once.
-
-    One trip years later closes all hours; its own hour stays open.
-    """
-    source, out = scratch(spark, "trip-stream"), scratch(spark, "hour-counts")
+def _trip_counts(spark, sf_dir):
+    """The hours of a stream of the cleaned trips. One trip years later closes all hours; its own hour stays open."""
+    source = scratch(spark, "trip-stream")
     trips = clean(spark, sf_dir)
     trips.write.parquet(f"{source}/trips")
     later = F.lit("2099-01-01 00:00:00").cast("timestamp_ntz")
     spark.read.parquet(f"{source}/trips").limit(1).withColumn("pickup_datetime", later).write.parquet(f"{source}/closing")
     stream = spark.readStream.schema(trips.schema).parquet(f"{source}/*")
     # A month of lateness, whatever the order in which the files are read.
-    score_stream(
-        stream, lambda df: hourly_counts(df, fixed_zones(), lateness="40 days"), out, scratch(spark, "counts-state")
-    ).awaitTermination()
+    return hourly_counts(stream, fixed_zones(), lateness="40 days")
+
+
+@query
+def st1_stream_counts(spark, sf_dir):
+    """The batch counts, from a stream of the cleaned trips; every hour that closed is emitted once."""
+    out = scratch(spark, "hour-counts")
+    score_stream(_trip_counts(spark, sf_dir), lambda counts: counts, out, scratch(spark, "counts-state")).awaitTermination()
     return rounded(spark.read.parquet(out))
 
 
+def _kept(spark, sf_dir) -> str:
+    """The folder of a history that a stream of the cleaned trips keeps."""
+    folder = scratch(spark, "kept-history")
+    keep_history(_trip_counts(spark, sf_dir), folder, scratch(spark, "kept-state")).awaitTermination()
+    return folder
+
+
+@query
+def st1_kept_history(spark, sf_dir):
+    """Lags and means over the history that a stream keeps: those of the batch job."""
+    grid = stage(kept_history(spark, _kept(spark, sf_dir)), "kept")
+    return rounded(demand.drop_short_history(temporal.with_calendar(demand.with_rolling_means(demand.with_lags(grid)))))
+
+
 @query
 def st2_stream_scores(spark, sf_dir):
     source, out = scratch(spark, "request-stream"), scratch(spark, "request-scores")
@@ -870,3 +887,40 @@ def st2_stream_scores(spark, sf_dir):
 
     score_stream(stream, score, out, scratch(spark, "scores-state")).awaitTermination()
     return rounded(spark.read.parquet(out), 4)
+
+
+def _request_stream(spark, sf_dir):
+    """Requests as a stream of several micro-batches."""
+    source = scratch(spark, "request-stream")
+    rows = requests(spark, sf_dir)
+    rows.repartition(3, "request_id").write.parquet(source)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+@query
+def st2_completed_scores(spark, sf_dir):
+    """Completed trips scored as they arrive."""
+    out = scratch(spark, "completed-scores")
+
+    def score(df):
+        return scoring.score_anomalies(df, by_speed).select("request_id", "anomaly.*", "anomaly_status.status")
+
+    score_stream(_request_stream(spark, sf_dir), score, out, scratch(spark, "completed-state")).awaitTermination()
+    return rounded(spark.read.parquet(out))
+
+
+@query
+def st2_unified(spark, sf_dir):
+    """All three parts for a stream of requests, against the history that another stream keeps."""
+    out, folder = scratch(spark, "unified-scores"), _kept(spark, sf_dir)
+
+    def score(df, history):
+        scored = scoring.score_unified(df, fixed_zones(), history, by_distance, by_last_day, by_speed, "by_distance", "by_last_day")
+        return _unified_columns(scored)
+
+    def history():
+        # The batch job's table starts a day after the first hour, and messages name its span.
+        return demand.drop_short_history(demand.with_lags(kept_history(spark, folder)))
+
+    score_with_history(_request_stream(spark, sf_dir), score, history, out, scratch(spark, "unified-state")).awaitTermination()
+    return rounded(read_scores(spark, out).drop("batch"), 4)
