@@ -3,16 +3,18 @@
 The classifier says how likely a text is good on its own. Grouped sums of these likelihoods give each host
 a posterior share of good documents, shrunk toward the global share, and each path one shrunk toward its host; how
 strongly is estimated from the spread between sites. The document's odds are then those of its path times its own evidence.
+What a document adds to its own sites is taken out first, so that its evidence counts once.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from meterlark.llm.text import Buffer, Prefix, buffers, small_batches
 from meterlark.llm.toxicity import fold
@@ -108,8 +110,8 @@ class Classifier:
         return np.clip(odds - np.log(self.share / (1 - self.share)), -MOST_EVIDENCE, MOST_EVIDENCE)
 
 
-def fit(texts: list[str], good: np.ndarray) -> Classifier:
-    """Ridge logistic regression by Newton steps. The features are made a few texts at a time, for the driver's memory."""
+def learn(texts: list[str], good: np.ndarray) -> Classifier:
+    """Ridge logistic regression by Newton steps. The features are made a few texts at a time, for the task's memory."""
     x = np.concatenate([features(texts[i : i + 64]) for i in range(0, len(texts), 64)])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     wide = Classifier._wide((x - mean) / scale)
@@ -123,17 +125,35 @@ def fit(texts: list[str], good: np.ndarray) -> Classifier:
     return Classifier(mean, scale, w, float(np.clip(good.mean(), 1e-6, 1 - 1e-6)))
 
 
-def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most ``size`` documents per label, by a hash of the id, outside the held-out fold."""
+def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
+    """(doc_id, text, place, quality) of at most ``size`` documents per label, by a hash of the id, outside the held-out fold.
+
+    A document with two labels counts by the smaller one.
+    """
     learnt = labels.filter("quality IN (0, 1)").filter(fold(F.col("doc_id")) != 0).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     held = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") <= LONGEST_SAMPLED)
     order, parts = F.xxhash64("doc_id"), []
     for q in (0, 1):
         # Some ids are absent or too long for the sample: twice the bound are looked up, rows of two numbers.
         ids = learnt.filter(F.col("quality") == q).orderBy(order, "doc_id").limit(2 * size)
-        parts.append(held.join(F.broadcast(ids), "doc_id").orderBy(order, "doc_id", "text").limit(size).toPandas())
-    rows = pd.concat(parts)
-    return rows["text"].tolist(), rows["quality"].to_numpy(dtype=np.int64)
+        parts.append(held.join(F.broadcast(ids), "doc_id").orderBy(order, "doc_id", "text").limit(size))
+    return parts[0].unionByName(parts[1]).select("doc_id", "text", order.alias("place"), F.col("quality").cast("long").alias("quality"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Classifier | None:
+    """A classifier from labelled documents, or None when one of the two labels is missing.
+
+    The bounded sample is learnt from in one task; the driver receives the parameters only. A retried task gives the same model.
+    """
+
+    def train(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["quality", "place", "doc_id", "text"])
+        good = rows["quality"].to_numpy(dtype=np.int64)
+        made = [pickle.dumps(learn(rows["text"].tolist(), good))] if 0 < good.sum() < len(good) else []
+        return pd.DataFrame({"model": pd.Series(made, dtype=object)})
+
+    found = sample(docs, labels, size).withColumn("one", F.lit(0)).groupBy("one").applyInPandas(train, "model binary").first()
+    return None if found is None else pickle.loads(found["model"])
 
 
 EVIDENCE = "doc_id long, host string, path string, held_out boolean, evidence double"
@@ -170,12 +190,18 @@ def strength(groups: DataFrame, mean: str, prior: str) -> float:
     return float(np.clip(full / excess - 1, LEAST_STRENGTH, MOST_STRENGTH))
 
 
+def without_own(good: str, n: str, own: Column, strength_: float, prior: Column) -> Column:
+    """The posterior share of a site's other documents: their sum and ``strength_`` documents of the prior."""
+    return (F.greatest(F.col(good) - own, F.lit(0.0)) + strength_ * prior) / (F.col(n) - 1 + strength_)
+
+
 def combine(scored: DataFrame, share: float) -> DataFrame:
     """Rows of ``EVIDENCE`` with text_score, host_share, path_share, score.
 
-    ``share`` is the global prior share of good documents. Sites without a name are the site "". Sums are made per task
-    before the shuffle; what is shuffled to meet its site is a few numbers per document, and adaptive execution
-    splits a site that holds a third of them.
+    ``share`` is the global prior share of good documents before any document of the table is seen; it weighs as much as one. A document's
+    host_share and path_share are those of the other documents of its sites: alone on its site, it is judged by what the host, or
+    the whole table, has earned without it. Sites without a name are the site "". Sums are made per task before the shuffle; what is shuffled
+    to meet its site is a few numbers per document, and adaptive execution splits a site that holds a third of them.
     """
     prior = float(np.log(share / (1 - share)))
 
@@ -187,22 +213,24 @@ def combine(scored: DataFrame, share: float) -> DataFrame:
         "text_score": chance(F.col("evidence") + prior),
     })
     paths = stage(named.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("text_score").alias("good")), "site-paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).withColumns(
-        {"mean": F.col("good") / F.col("n")})
-    overall = paths.agg(F.sum("good") / F.sum("n")).first()[0]
-    if overall is None:
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
+    total = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
+    if total["n"] is None:
         return named.select("*", F.lit(0.0).alias("host_share"), F.lit(0.0).alias("path_share"), F.lit(0.0).alias("score"))
-    overall = float(np.clip(overall, 1e-6, 1 - 1e-6))
-    host_strength = strength(hosts.withColumn("prior", F.lit(overall)), "mean", "prior")
-    hosts = hosts.select("host", ((F.col("good") + host_strength * overall) / (F.col("n") + host_strength)).alias("host_share"))
-    nested = paths.join(hosts, "host").withColumn("mean", F.col("good") / F.col("n"))
-    path_strength = strength(nested, "mean", "host_share")
-    sites = nested.select(
-        F.col("host").alias("_host"), F.col("path").alias("_path"), "host_share",
-        ((F.col("good") + path_strength * F.col("host_share")) / (F.col("n") + path_strength)).alias("path_share"))
+    overall = F.lit((total["good"] + share) / (total["n"] + 1))
+    means = hosts.select(F.col("host_n").alias("n"), (F.col("host_good") / F.col("host_n")).alias("mean"), overall.alias("prior"))
+    host_strength = strength(means, "mean", "prior")
+    nested = paths.join(hosts, "host").withColumns({
+        "mean": F.col("good") / F.col("n"), "shrunk": (F.col("host_good") + host_strength * overall) / (F.col("host_n") + host_strength)})
+    path_strength = strength(nested, "mean", "shrunk")
+    sites = nested.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "n", "good", "host_n", "host_good")
     out = named.join(sites, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")))
+    own = F.col("text_score")
+    others = (F.lit(total["good"] + share) - own) / float(total["n"])
+    out = out.withColumn("host_share", without_own("host_good", "host_n", own, host_strength, others))
+    out = out.withColumn("path_share", without_own("good", "n", own, path_strength, F.col("host_share")))
     within = F.least(F.greatest(F.col("path_share"), F.lit(1e-9)), F.lit(1 - 1e-9))
-    return out.drop("_host", "_path").withColumn("score", chance(F.col("evidence") + F.log(within / (1 - within))))
+    return out.drop("_host", "_path", "n", "good", "host_n", "host_good").withColumn("score", chance(F.col("evidence") + F.log(within / (1 - within))))
 
 
 def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str = "lang", size: int = SAMPLE) -> DataFrame:
@@ -217,11 +245,11 @@ def quality(docs: DataFrame, labels: DataFrame, host: str = "source", path: str
         "doc_id", F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"),
         F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     columns = ("doc_id", "held_out", "text_score", "host_share", "path_share", "score")
-    texts, good = sample(docs, labels, size)
-    if len(set(good.tolist())) < 2:
+    model = fit(docs, labels, size)
+    if model is None:
         ones = [F.lit(1.0).alias(c) for c in columns[2:]]
         return rows.select("doc_id", "held_out", *ones, F.lit(True).alias("keep"))
     learnt = labels.filter("quality IN (0, 1)").filter(fold(F.col("doc_id")) != 0)
     share = float(np.clip(learnt.agg(F.avg("quality")).first()[0], 1e-6, 1 - 1e-6))
-    scored = stage(evidence(rows, fit(texts, good)), "quality-evidence")
+    scored = stage(evidence(rows, model), "quality-evidence")
     return combine(scored, share).select(*columns, (F.col("score") >= 0.5).alias("keep"))

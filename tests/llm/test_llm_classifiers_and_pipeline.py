@@ -124,16 +124,55 @@ def test_sites_shrink_towards_host_and_whole(spark):
     found = site_quality.combine(df, 0.6).toPandas()
     text = 1 / (1 + np.exp(-(found["evidence"] + np.log(0.6 / 0.4))))
     assert np.allclose(found["text_score"], text)
-    overall, means = text.mean(), text.groupby(found["host"]).mean()
-    shares, sizes = found.groupby("host")["host_share"].first(), found.groupby("host").size()
-    pull = ((means - shares) * sizes / (shares - overall)).dropna()
-    assert np.allclose(pull, pull.iloc[0], rtol=1e-6) and 1 <= pull.iloc[0] < 50  # one strength for every host
-    assert (abs(shares - overall) <= abs(means - overall) + 1e-12).all()
+    # The other documents of the whole, the host and the path, by a plain loop over what the method defines.
+    n = len(found)
+    found["others"] = (text.sum() + 0.6 - text) / n
+
+    def moments(groups):
+        """How many documents a prior is worth, from (documents, mean, prior) of each group."""
+        big = [g for g in groups if g[0] > 1]
+        chance = sum(q * (1 - q) for _, _, q in big)
+        excess = sum(k * (m - q) ** 2 for k, m, q in big) - chance
+        if excess <= 0:  # no spread beyond chance: the prior is as strong as it may be
+            return site_quality.MOST_STRENGTH
+        return min(max((sum(k * q * (1 - q) for k, _, q in big) - chance) / excess - 1, site_quality.LEAST_STRENGTH), site_quality.MOST_STRENGTH)
+
+    overall = (text.sum() + 0.6) / (n + 1)
+    hosts = {h: (len(g), g.mean()) for h, g in text.groupby(found["host"])}
+    paths = {s: (len(g), g.mean()) for s, g in text.groupby([found["host"], found["path"]])}
+    host_pull = moments([(k, m, overall) for k, m in hosts.values()])
+    path_pull = moments([(k, m, (hosts[s[0]][0] * hosts[s[0]][1] + host_pull * overall) / (hosts[s[0]][0] + host_pull)) for s, (k, m) in paths.items()])
+    assert 1 < host_pull < 50
+    for i, row in found.iterrows():
+        (hn, hm), (pn, pm) = hosts[row["host"]], paths[row["host"], row["path"]]
+        host = (hn * hm - text[i] + host_pull * row["others"]) / (hn - 1 + host_pull)
+        path = (pn * pm - text[i] + path_pull * host) / (pn - 1 + path_pull)
+        odds = row["evidence"] + np.log(path / (1 - path))
+        assert np.allclose([row["host_share"], row["path_share"], row["score"]], [host, path, 1 / (1 + np.exp(-odds))], rtol=1e-6)
+    assert (found["path"] == "").any()
     # Without spread between sites the prior rules.
     same = spark.createDataFrame([(i, f"h{i % 40}", "p", False, 4.0 if i % 3 else -4.0) for i in range(4800)], site_quality.EVIDENCE)
     assert site_quality.combine(same, 0.5).agg(F.max("host_share") - F.min("host_share")).first()[0] < 1e-3
 
 
+def test_a_document_alone_on_its_site_is_no_evidence_for_itself(spark):
+    """Turning one document's evidence changes the shares of its sites for the others, never for itself."""
+    rows = [(i, "big", "p", False, 3.0 if i % 2 else -3.0) for i in range(100)] + [(100, "alone", "p", False, 3.0), (101, "big", "own", False, 3.0)]
+    turned = [(*r[:4], -r[4]) if r[0] >= 100 else r for r in rows]
+
+    def shares(data):
+        return site_quality.combine(spark.createDataFrame(data, site_quality.EVIDENCE), 0.5).toPandas().set_index("doc_id").sort_index()
+
+    a, b = shares(rows), shares(turned)
+    # The strengths are fitted to all sites, single documents of hosts left out; the other one of the two moves the whole by 1 %.
+    assert abs(a["path_share"][100] - b["path_share"][100]) < 0.02 and abs(a["path_share"][101] - b["path_share"][101]) < 0.02
+    assert a["score"][100] > 0.8 and b["score"][100] < 0.2
+    one = shares([(7, "h", "p", False, 2.0)])
+    assert np.allclose(one["path_share"][7], 0.5)  # nothing else is known but the share it was given
+    hot = [(i, "hot" if i % 3 == 0 else f"h{i % 97}", f"p{i % 5}", False, float(i % 7 - 3)) for i in range(3000)]
+    assert len(shares(hot)) == 3000
+
+
 def test_the_pipeline_equals_its_stages_by_brute_force(corpus, docs_of, prose, spark, tmp_path):
     docs, labels, rows, truth = corpus
     more = [(1000 + i, f"the line that they all repeat\n{prose(30, 5000 + i)}", "src0") for i in range(20)]
