@@ -342,6 +342,16 @@ oracle(
         for c, source in GATED.items()
     ),
 )
+ORACLES["f1_usable_features"] = ORACLES["f1_features"]
+oracle(
+    "f2_planted_counts",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, count(*) FILTER (WHERE {missing}) AS n_missing, count(*) FILTER (WHERE {infinite}) AS n_infinite FROM featured"""
+        for c, missing, infinite in (
+            (c, "row_seq % 17 <> 0 AND row_seq % 19 = 0" if c == "bearing_sin" else "false",
+             {"trip_distance_km": "row_seq % 13 = 0", "bearing_sin": "row_seq % 17 = 0"}.get(c, "false")) for c in GATED)
+    ),
+)
 VENDOR_CODE = "CASE vendor_id WHEN '1' THEN 0 WHEN '2' THEN 1 ELSE -1 END::BIGINT AS vendor_id_code"
 FLAG_CODE = "CASE store_and_fwd_flag WHEN 'N' THEN 0 WHEN 'Y' THEN 1 ELSE -1 END::BIGINT AS store_and_fwd_flag_code"
 oracle(
@@ -484,6 +494,27 @@ oracle(
                 var_pop(pickup_latitude) + var_pop(pickup_longitude * 0.757::DOUBLE) AS v FROM zoned GROUP BY 1) k,
             LATERAL (SELECT (x - mx) * (x - mx) + (y - my) * (y - my) + v AS d) GROUP BY id)""",
 )
+# Three features: the normal equations of centred columns by Cramer's rule.
+oracle(
+    "m4_ols_three",
+    f"""SELECT 'linear_regression' AS model, {r('avg(abs(y - guess))', 4)} AS mae, {r('sqrt(avg((y - guess) ** 2))', 4)} AS rmse,
+        {r('avg(abs(y - guess) / y)', 4)} AS mape, {r('1 - sum((y - guess) ** 2) / (var_pop(y) * count(*))', 4)} AS r2, count(*) AS n
+        FROM (SELECT trip_duration::DOUBLE AS y, greatest(exp(my + wa * (trip_distance_km - ma) + wb * (pickup_hour_sin - mb) + wc * (passenger_count - mc)) - 1, 10.0) AS guess
+            FROM featured , (SELECT ma, mb, mc, my,
+                    (ay * (bb * cc - bc * bc) - ab * (yb * cc - bc * yc) + ac * (yb * bc - bb * yc)) / det AS wa,
+                    (aa * (yb * cc - bc * yc) - ay * (ab * cc - bc * ac) + ac * (ab * yc - yb * ac)) / det AS wb,
+                    (aa * (bb * yc - yb * bc) - ab * (ab * yc - yb * ac) + ay * (ab * bc - bb * ac)) / det AS wc
+                FROM (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det
+                    FROM (SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb, var_pop(c) AS cc,
+                            covar_pop(a, b) AS ab, covar_pop(a, c) AS ac, covar_pop(b, c) AS bc, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb, covar_pop(c, y) AS yc
+                        FROM (SELECT trip_distance_km AS a, pickup_hour_sin AS b, passenger_count::DOUBLE AS c, ln(1 + trip_duration) AS y
+                            FROM featured WHERE NOT {IN_TEST})))) f WHERE {IN_TEST})""",
+)
+oracle(
+    "m1_settled_zones",
+    f"""SELECT 30::BIGINT AS zones, count(*) AS n, {r('cos(radians(avg(pickup_latitude)))')} AS factor, 0.0::DOUBLE AS centre_gap,
+        0.0::DOUBLE AS inertia_gap, true AS better_than_fixed FROM clean""",
+)
 # The sixteen features in the order in which a tree counts them, from 0.
 FEATURE_NAMES = (
     "pickup_hour", "pickup_weekday", "pickup_is_weekend", "pickup_is_rush_hour", "pickup_hour_sin", "pickup_hour_cos", "pickup_weekday_sin",
@@ -545,6 +576,37 @@ oracle(
     f"SELECT id, {ANOMALY}, {r('anomaly_score')} AS anomaly_score, is_anomaly, 0.02::DOUBLE AS contamination FROM (SELECT * FROM scored ORDER BY anomaly_score DESC, id LIMIT 5)",
 )
 
+# The fixed trees as conditions, and the usual path of 256 rows.
+USUAL = "(2 * (ln(255) + 0.5772156649015329) - 2 * 255 / 256.0::DOUBLE)"
+
+
+def forest_score(seconds: str, km: str, speed: str, ratio: str, riders: str) -> str:
+    return f"""pow(2.0::DOUBLE, -((CASE WHEN {speed} <= 30 THEN 9.5 WHEN {km} <= 12 THEN 6.0 ELSE 3.5 END)::DOUBLE
+        + (CASE WHEN {seconds} > 900 THEN 7.25 WHEN {ratio} <= 0.75 THEN 5.5 ELSE 8.0 END)::DOUBLE + (CASE WHEN {riders} <= 5 THEN 8.5 ELSE 4.0 END)::DOUBLE) / 3 / {USUAL})"""
+
+
+def forest_normal(raw: str) -> str:
+    return f"least(greatest(({raw} - 0.5) / (0.8 - 0.5 + 1e-6), 0.0), 1.0)"
+
+
+oracle(
+    "a3_path_scores",
+    f"""SELECT id, {r('raw')} AS anomaly_score_raw, {r(forest_normal('raw'))} AS anomaly_score, raw > 0.65 AS is_anomaly
+    FROM (SELECT id, {forest_score('trip_duration', 'trip_distance_km', 'average_speed_kmh', 'route_efficiency_ratio', 'passenger_count')} AS raw FROM featured )""",
+)
+oracle(
+    "a2_planted",
+    """SELECT count(*) AS n, count_if(row_seq % 150 = 0)::BIGINT AS n_planted, count_if(row_seq % 150 = 0)::BIGINT AS n_found, 0::BIGINT AS n_outside,
+        true AS within_share FROM featured""",
+)
+oracle(
+    "a7_detector",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count(*) AS n, {r(f'avg({c})')} AS mean, 20::BIGINT AS n_top, 0::BIGINT AS flags_changed FROM featured"
+        for c in params.ANOMALY_FEATURES
+    ),
+)
+
 # --- requests ---
 CITY_CHECKS = " ".join(
     f"WHEN NOT coalesce({c} BETWEEN {lo} AND {hi}, false) THEN {text(messages.OUTSIDE_CITY, repr(c), shown(c), repr(str(lo)), repr(str(hi)))}"
@@ -718,6 +780,60 @@ oracle(
     "SELECT request_id, concat_ws(',', " + ", ".join(f"CASE WHEN NOT coalesce({ok}, false) THEN '{c}' END" for c, ok in CONSTRAINTS.items())
     + ") AS violations FROM requests",
 )
+for kind, checks in {
+    "duration": {c: CONSTRAINTS[c] for c in (*ENDS, "pickup_datetime", "passenger_count", "vendor_id", "store_and_fwd_flag")},
+    "anomaly": {
+        **{c: CONSTRAINTS[c] for c in (*ENDS, "pickup_datetime")},
+        "dropoff_datetime": "dropoff_datetime IS NOT NULL",
+        "passenger_count": "passenger_count IS NULL OR passenger_count >= 0",
+    },
+    "demand": {
+        "target_datetime": "target_datetime IS NOT NULL",
+        "zone_id": CONSTRAINTS["zone_id"],
+        "pickup_latitude": "pickup_latitude IS NULL OR pickup_latitude BETWEEN -90 AND 90",
+        "pickup_longitude": "pickup_longitude IS NULL OR pickup_longitude BETWEEN -180 AND 180",
+        "zone_or_coordinates": "zone_id IS NOT NULL OR (pickup_latitude IS NOT NULL AND pickup_longitude IS NOT NULL)",
+    },
+}.items():
+    broken = ", ".join(f"CASE WHEN NOT coalesce({ok}, false) THEN '{c}' END" for c, ok in checks.items())
+    oracle(f"q15_{kind}", f"SELECT request_id, concat_ws(',', {broken}) AS violations FROM requests")
+
+# --- jobs over saved artifacts: straight lines through one feature ---
+DURATION_LINE = f"""(SELECT regr_intercept(ln(1 + trip_duration), trip_distance_km) AS a, regr_slope(ln(1 + trip_duration), trip_distance_km) AS b
+    FROM featured WHERE NOT {IN_TEST})"""
+DEMAND_LINE = f"""(SELECT regr_intercept(ln(1 + pickup_count), demand_lag_24h) AS a, regr_slope(ln(1 + pickup_count), demand_lag_24h) AS b
+    FROM demand WHERE hour < {CUT})"""
+LINE_SECONDS = "greatest(exp(t.a + t.b * {}) - 1, 10.0)"
+LINE_COUNT = "greatest(exp(d.a + d.b * demand_lag_24h) - 1, 0.0)"
+COMPOSED_SCORE = forest_score("seconds", "km", "speed", "ratio", "coalesce(passenger_count, 0)")
+oracle(
+    "q14_from_artifacts",
+    f"""SELECT request_id, request_mode, CASE WHEN duration_reason IS NULL THEN {r(LINE_SECONDS.format('km'), 4)} END AS duration_seconds,
+        CASE WHEN demand_reason IS NULL THEN {r(LINE_COUNT, 4)} END AS pickups, CASE WHEN demand_reason IS NULL THEN resolved END::BIGINT AS zone,
+        CASE WHEN anomaly_reason IS NULL THEN {r(forest_normal(COMPOSED_SCORE), 4)} END AS score,
+        CASE WHEN anomaly_reason IS NULL THEN {COMPOSED_SCORE} > 0.65 END AS flagged FROM composed , {DURATION_LINE} t, {DEMAND_LINE} d""",
+)
+TESTED_TRIPS = f"(SELECT trip_duration::DOUBLE AS y, {LINE_SECONDS.format('trip_distance_km')} AS guess FROM featured , {DURATION_LINE} t WHERE {IN_TEST})"
+TESTED_HOURS = f"(SELECT pickup_count::DOUBLE AS y, {LINE_COUNT} AS guess FROM demand , {DEMAND_LINE} d WHERE hour >= {CUT})"
+for name, tested in (("v8_from_artifacts", TESTED_TRIPS), ("v9_from_artifacts", TESTED_HOURS)):
+    error = r("sqrt(avg((y - guess) ** 2))", 4)
+    oracle(name, f"""SELECT 'linear_regression' AS model, {error} AS saved_rmse, {error} AS recomputed_rmse, 0.0::DOUBLE AS difference, false AS drifted FROM {tested}""")
+LINES = (
+    ("trip_duration", TESTED_TRIPS, "mae", "avg(abs(y - guess))", "MAE: %.1f seconds"),
+    ("trip_duration", TESTED_TRIPS, "rmse", "sqrt(avg((y - guess) ** 2))", "RMSE: %.1f seconds"),
+    ("trip_duration", TESTED_TRIPS, "r2", "1 - sum((y - guess) ** 2) / (var_pop(y) * count(*))", "R2: %.3f"),
+    ("zonal_demand", TESTED_HOURS, "mae", "avg(abs(y - guess))", "MAE: %.2f pickups/hour"),
+    ("zonal_demand", TESTED_HOURS, "rmse", "sqrt(avg((y - guess) ** 2))", "RMSE: %.2f pickups/hour"),
+    ("zonal_demand", TESTED_HOURS, "mape_nonzero_only", "avg(abs(y - guess) / y) FILTER (WHERE y <> 0)", "MAPE (non-zero-demand hours only): %.3f"),
+)
+oracle(
+    "v10_from_artifacts",
+    " UNION ALL ".join(
+        f"SELECT '{part}' AS component, 'linear_regression' AS model, '{metric}' AS metric, {r(value, 4)} AS value, printf('{line}', {value}) AS line FROM {tested}"
+        for part, tested, metric, value, line in LINES
+    ) + """ UNION ALL SELECT 'anomaly_detection', 'isolation_forest', 'contamination', 0.02::DOUBLE,
+        'Contamination assumption: 2.0% of trips flagged for review' FROM (SELECT 1)""",
+)
 oracle("st1_stream_counts", "SELECT pickup_zone::BIGINT AS pickup_zone, hour, n AS pickup_count FROM counts")
 ORACLES["st1_kept_history"] = ORACLES["w4_demand_dataset"]
 ORACLES["st2_completed_scores"] = ORACLES["q8_completed_scores"]

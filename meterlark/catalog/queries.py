@@ -12,11 +12,13 @@ from meterlark.functions import numeric, spatial, temporal
 from meterlark.models import regressors, zone_fit
 from meterlark.models.extra_trees import ExtraTrees
 from meterlark.models.isolation import IsolationForest
+from meterlark.models.nodes import Trees
 from meterlark.models.ridge import fit_ridge
 from meterlark.models.stacking import base_models, fit_stacking
 from meterlark.operators import anomaly, cleaning, demand, encoding, features, metrics, profiling, splits, zones
 from meterlark.operators import requests as rules
-from meterlark.plans import report, scoring
+from meterlark.operators.zones import ZoneModel
+from meterlark.plans import jobs, report, scoring
 from meterlark.session import shared_folder, stage
 from meterlark.sources import tables, trips as trip_files
 from meterlark.sources.event_trips import fixed_zones, load_trips, requests_from_trips
@@ -353,8 +355,7 @@ def g7_log_scale(spark, sf_dir):
 
 @query
 def g9_longitude_factor(spark, sf_dir):
-    mean = F.avg("pickup_latitude")
-    return rounded(clean(spark, sf_dir).agg(F.cos(F.radians(mean)).alias("factor")))
+    return rounded(spark.range(1).select(F.lit(zones.longitude_factor(clean(spark, sf_dir))).alias("factor")))
 
 
 @query
@@ -372,6 +373,24 @@ def f2_gate_counts(spark, sf_dir):
     return features.gate_counts(features.build_features(raw(spark, sf_dir)))
 
 
+@query
+def f2_planted_counts(spark, sf_dir):
+    """The gate over features of which some are made infinite, some NaN."""
+    planted = featured(spark, sf_dir).withColumns({
+        "trip_distance_km": F.when(F.col("row_seq") % 13 == 0, F.lit(float("inf"))).otherwise(F.col("trip_distance_km")),
+        "bearing_sin": F.when(F.col("row_seq") % 17 == 0, F.lit(float("-inf"))).when(F.col("row_seq") % 19 == 0, F.lit(float("nan")))
+        .otherwise(F.col("bearing_sin")),
+    })
+    return features.gate_counts(planted)
+
+
+@query
+def f1_usable_features(spark, sf_dir):
+    """The features behind the gate that the training job writes through."""
+    built = features.usable_features(clean(spark, sf_dir))
+    return rounded(built.select("id", *params.TEMPORAL_COLUMNS, *params.SPATIAL_COLUMNS))
+
+
 @query
 def f3_duration_matrix(spark, sf_dir):
     return rounded(encoding.duration_matrix(featured(spark, sf_dir)))
@@ -603,10 +622,42 @@ def m4_ols_single(spark, sf_dir):
     return rounded(row, 4)
 
 
+@query
+def m4_ols_three(spark, sf_dir):
+    columns = ["trip_distance_km", "pickup_hour_sin", "passenger_count"]
+    matrix = stage(encoding.duration_matrix(featured(spark, sf_dir)).select("id", *columns, "label", "y_raw"), "three-features")
+    train, test = splits.random_split(matrix)
+    _, row = regressors.train_and_evaluate(regressors.linear(), "linear_regression", train, test, columns, params.MIN_TRIP_SECONDS)
+    return rounded(row, 4)
+
+
 @query
 def m1_kmeans(spark, sf_dir):
-    fitted = zone_fit.fit_zones(clean(spark, sf_dir), inits=2, iterations=20)
-    return rounded(fitted.to_table(spark))
+    """Thirty zones, the best of ten starts of up to 300 iterations."""
+    return rounded(zone_fit.fit_zones(clean(spark, sf_dir)).to_table(spark))
+
+
+@query
+def m1_settled_zones(spark, sf_dir):
+    """What must hold of fitted zones: every centre is the mean of its rows, the inertia is theirs and below that of the fixed zones."""
+    points = stage(clean(spark, sf_dir).select("pickup_latitude", "pickup_longitude"), "points")
+    fitted = zone_fit.fit_zones(points, inits=2)
+
+    def inertia(model):
+        """Squared straightened distances of all rows to the centres they are assigned to."""
+        centres = F.broadcast(model.to_table(spark).select(F.col("zone_id").alias("pickup_zone"), "lat", "lon"))
+        gaps = (F.col("pickup_latitude") - F.col("lat")) ** 2 + ((F.col("pickup_longitude") - F.col("lon")) * model.longitude_factor) ** 2
+        return zones.assign_zone(points, model).join(centres, "pickup_zone").agg(F.sum(gaps).alias("inertia"))
+
+    means = zone_fit.members(points, fitted).withColumnRenamed("lat", "mean_lat").withColumnRenamed("lon", "mean_lon")
+    centres = fitted.to_table(spark).select(F.col("zone_id").alias("pickup_zone"), "lat", "lon")
+    gap = F.greatest(F.abs(F.col("lat") - F.col("mean_lat")), F.abs(F.col("lon") - F.col("mean_lon")))
+    fixed = ZoneModel(fixed_zones().centroids, fitted.longitude_factor)
+    held = means.join(centres, "pickup_zone").agg(F.sum("n").alias("n"), F.max(gap).alias("centre_gap"))
+    compared = held.crossJoin(inertia(fitted)).crossJoin(inertia(fixed).withColumnRenamed("inertia", "fixed"))
+    return rounded(compared.select(
+        F.lit(fitted.n_zones).alias("zones"), "n", F.lit(fitted.longitude_factor).alias("factor"), "centre_gap",
+        F.abs(F.col("inertia") / F.lit(fitted.inertia) - 1).alias("inertia_gap"), (F.col("inertia") < F.col("fixed")).alias("better_than_fixed")))
 
 
 @query
@@ -672,6 +723,66 @@ def m13_importance(spark, sf_dir):
 
 # --- anomalies ----------------------------------------------------------------------------------
 
+# Three small trees over trip_duration, trip_distance_km, average_speed_kmh, route_efficiency_ratio and passenger_count,
+# numbered from 0 in this order, as a fit leaves them; the SQL states the same trees as conditions.
+FIXED_TREES = Trees(
+    feature=[[2, -1, 1, -1, -1], [0, 3, -1, -1, -1], [4, -1, -1]],
+    threshold=[[30.0, 0.0, 12.0, 0.0, 0.0], [900.0, 0.75, 0.0, 0.0, 0.0], [5.0, 0.0, 0.0]],
+    left=[[1, -1, 3, -1, -1], [1, 3, -1, -1, -1], [1, -1, -1]],
+    right=[[2, -1, 4, -1, -1], [2, 4, -1, -1, -1], [2, -1, -1]],
+    value=[[0.0, 9.5, 0.0, 6.0, 3.5], [0.0, 0.0, 7.25, 5.5, 8.0], [0.0, 8.5, 4.0]],
+)
+
+
+def fixed_detector() -> IsolationForest:
+    return IsolationForest(n_trees=3, trees=FIXED_TREES, size=256, scale=anomaly.ScoreScale(0.5, 0.8, 0.65))
+
+
+@query
+def a3_path_scores(spark, sf_dir):
+    """Every trip walked down fixed trees that were saved and read back: raw score, normalised score and flag."""
+    folder = scratch(spark, "detector")
+    save_model(spark, fixed_detector(), folder)
+    detector = load_model(spark, folder, IsolationForest)
+    trips = spatial.with_anomaly_features(featured(spark, sf_dir))
+    return rounded(detector.score(trips).select("id", anomaly.RAW, "anomaly_score", "is_anomaly"))
+
+
+@query
+def a2_planted(spark, sf_dir):
+    """A fitted forest among trips of which every 150th is made 30 times as fast and detours in the extreme: all of those are flagged."""
+    odd = F.col("row_seq") % 150 == 0
+    trips = stage(spatial.with_anomaly_features(featured(spark, sf_dir)).select(
+        "id", odd.alias("planted"), *[F.when(odd, F.col(c) * times).otherwise(F.col(c)).alias(c) for c, times in (
+            ("trip_duration", 20), ("trip_distance_km", 30), ("average_speed_kmh", 30.0), ("route_efficiency_ratio", 0.1), ("passenger_count", 1))]), "planted")
+    scored = IsolationForest().fit(trips).score(trips)
+    within = F.col("anomaly_score").between(0.0, 1.0)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("planted").alias("n_planted"), F.count_if(F.col("planted") & F.col("is_anomaly")).alias("n_found"),
+        F.count_if(~F.coalesce(within, F.lit(False))).alias("n_outside"), (F.count_if("is_anomaly") <= F.ceil(F.count(F.lit(1)) * params.CONTAMINATION)).alias("within_share"))
+
+
+@query
+def a7_detector(spark, sf_dir):
+    """The detector job: its group means weigh up to those of the table, and the saved detector gives its flags and its top 20 again."""
+    work = scratch(spark, "detector-job")
+    trip_files.write_stage(featured(spark, sf_dir), f"{work}/train_features")
+    jobs.train_anomalies(spark, work)
+    trips = spatial.with_anomaly_features(trip_files.read_stage(spark, f"{work}/train_features"))
+    again = stage(load_model(spark, f"{work}/models/anomaly", IsolationForest).score(trips).select("id", "anomaly_score", "is_anomaly"), "again")
+
+    def saved(name):
+        return spark.read.option("header", True).option("inferSchema", True).csv(f"{work}/reports/{name}")
+
+    listed = saved("top_20_flagged_trips").select("id", F.col("anomaly_score").alias("listed"))
+    kept = anomaly.top_anomalies(again).select("id", "anomaly_score").join(listed, "id").filter(F.abs(F.col("anomaly_score") - F.col("listed")) < 1e-9)
+    counts = saved("flag_share").select("n", "n_flagged").crossJoin(kept.agg(F.count(F.lit(1)).alias("n_top"))).crossJoin(
+        again.agg(F.count_if("is_anomaly").alias("flagged_again")))
+    mean = (F.col("mean_normal") * (F.col("n") - F.col("n_flagged")) + F.col("mean_flagged") * F.col("n_flagged")) / F.col("n")
+    # One row of counts beside five of means.
+    return rounded(saved("flagged_summary").crossJoin(counts).select(
+        "feature", F.col("n").cast("long").alias("n"), mean.alias("mean"), "n_top", (F.col("flagged_again") - F.col("n_flagged")).cast("long").alias("flags_changed")))
+
 @query
 def a2_forest_scores(spark, sf_dir):
     trips = stage(spatial.with_anomaly_features(featured(spark, sf_dir)), "anomaly-features")
@@ -838,6 +949,70 @@ def q15_constraints(spark, sf_dir):
     return checked.select("request_id", F.array_join("violations", ",").alias("violations"))
 
 
+for _kind in ("duration", "demand", "anomaly"):
+
+    def _constraints(spark, sf_dir, kind=_kind):
+        checked = rules.with_violations(requests(spark, sf_dir), kind)
+        return checked.select("request_id", F.array_join("violations", ",").alias("violations"))
+
+    QUERIES[f"q15_{_kind}"] = _constraints
+
+
+# --- jobs over saved artifacts ------------------------------------------------------------------
+
+def _artifacts(spark, sf_dir) -> str:
+    """A work folder as the training jobs leave it; the models have one feature each, so that SQL can say what they give."""
+    work = scratch(spark, "work")
+    trip_files.write_stage(featured(spark, sf_dir), f"{work}/train_features")
+    trip_files.write_stage(hourly(spark, sf_dir), f"{work}/demand_hourly")
+    save_model(spark, fixed_zones(), f"{work}/models/zones")
+    save_model(spark, fixed_detector(), f"{work}/models/anomaly")
+    duration = splits.random_split(stage(encoding.duration_matrix(trip_files.read_stage(spark, f"{work}/train_features")), "matrix"))
+    history = splits.chronological_split(trip_files.read_stage(spark, f"{work}/demand_hourly"))[:2]
+    for kind, (train, test), column, floor in (
+        ("duration", duration, "trip_distance_km", params.MIN_TRIP_SECONDS), ("demand", history, "demand_lag_24h", 0.0)):
+        if kind == "demand":
+            train, test = encoding.demand_matrix(train), encoding.demand_matrix(test)
+        fitted, row = regressors.train_and_evaluate(regressors.linear(), "linear_regression", train, test, [column], floor, nonzero=kind == "demand")
+        save_model(spark, fitted, f"{work}/models/{kind}/linear_regression")
+        columns = params.METRICS + (("mape_nonzero_only",) if kind == "demand" else ())
+        tables.write_csv(row.select("model", *columns), f"{work}/models/{kind}_comparison")
+    return work
+
+
+def _reported(spark, sf_dir, name: str) -> DataFrame:
+    work = _artifacts(spark, sf_dir)
+    jobs.report(spark, work)
+    return spark.read.option("header", True).option("inferSchema", True).csv(f"{work}/reports/{name}")
+
+
+@query
+def q14_from_artifacts(spark, sf_dir):
+    """All three parts of every request by the scoring job, from what is saved alone."""
+    work = _artifacts(spark, sf_dir)
+    scorer = jobs.load_scorer(spark, work, "linear_regression")
+    trip_files.write_stage(scorer(requests(spark, sf_dir)), f"{work}/scored_requests")
+    return rounded(_unified_columns(trip_files.read_stage(spark, f"{work}/scored_requests")), 4)
+
+
+@query
+def v8_from_artifacts(spark, sf_dir):
+    """The report job's check of the saved duration model on its test part."""
+    return rounded(_reported(spark, sf_dir, "duration_drift"), 4)
+
+
+@query
+def v9_from_artifacts(spark, sf_dir):
+    """The report job's check of the saved demand model on the last hours."""
+    return rounded(_reported(spark, sf_dir, "demand_drift"), 4)
+
+
+@query
+def v10_from_artifacts(spark, sf_dir):
+    """The report job's summary of both winners and the detector."""
+    return rounded(_reported(spark, sf_dir, "pipeline_metrics"), 4)
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 def _trip_counts(spark, sf_dir):

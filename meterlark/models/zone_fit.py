@@ -17,6 +17,8 @@ from meterlark.session import stage
 
 # Points of a silhouette unless the caller asks for another number; all of them travel to every task.
 SILHOUETTE_ROWS = 10_000
+# Passes after the best start until no centre moves; a start that has settled needs one.
+SETTLING = 50
 
 
 def fit_zones(
@@ -24,7 +26,8 @@ def fit_zones(
 ) -> ZoneModel:
     """Best of several k-means|| starts on straightened coordinates; the factor is frozen in the model.
 
-    ``iterations`` is an upper bound; a start stops when its centres no longer move.
+    ``iterations`` is an upper bound; a start stops when its centres no longer move. The best start is settled: its centres are the means of
+    the rows that the model assigns to them, and the inertia is that of these centres.
     """
     points = stage(df.select("pickup_latitude", "pickup_longitude"), "zone-points")
     factor = longitude_factor(points)
@@ -42,7 +45,29 @@ def fit_zones(
                 best, cost = model.clusterCenters(), model.summary.trainingCost
     finally:
         plane.unpersist()
-    return ZoneModel(tuple((float(c[0]), float(c[1]) / factor) for c in best), factor, float(cost))
+    return settled(points, ZoneModel(tuple((float(c[0]), float(c[1]) / factor) for c in best), factor, float(cost)))
+
+
+def members(points: DataFrame, zones: ZoneModel) -> DataFrame:
+    """(pickup_zone, n, lat, lon, spread): size, mean and sum of squared straightened distances to the mean of every zone that has rows."""
+    known = assign_zone(points, zones).filter("pickup_zone IS NOT NULL")
+    return known.groupBy("pickup_zone").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("pickup_latitude").alias("lat"), F.avg("pickup_longitude").alias("lon"),
+        (F.count(F.lit(1)) * (F.var_pop("pickup_latitude") + F.lit(zones.longitude_factor ** 2) * F.var_pop("pickup_longitude"))).alias("spread"))
+
+
+def settled(points: DataFrame, zones: ZoneModel, passes: int = SETTLING) -> ZoneModel:
+    """Move every centre to the mean of its rows until none moves; a centre without rows stays. One aggregate to k rows a pass."""
+    for _ in range(passes):
+        found = {row["pickup_zone"]: row for row in members(points, zones).collect()}
+        if not found:
+            return zones
+        centres = tuple((found[z]["lat"], found[z]["lon"]) if z in found else c for z, c in enumerate(zones.centroids))
+        moved = max(abs(a - b) for old, new in zip(zones.centroids, centres) for a, b in zip(old, new))
+        zones = ZoneModel(centres, zones.longitude_factor, float(sum(row["spread"] for row in found.values())))
+        if moved < 1e-9:
+            break
+    return zones
 
 
 def silhouette(spark: SparkSession, points: DataFrame, label: str = "pickup_zone", most: int = SILHOUETTE_ROWS) -> float:

@@ -9,6 +9,8 @@ from meterlark.errors import DataValidationError
 from meterlark.functions.spatial import with_spatial_features
 from meterlark.functions.temporal import with_temporal_features
 
+UNUSABLE = "engineered columns hold unusable values"
+
 
 def build_features(df: DataFrame) -> DataFrame:
     """Trips plus eight temporal and six spatial columns; a projection, no shuffle."""
@@ -25,6 +27,26 @@ def _missing(c: str) -> Column:
     return F.col(c).isNull() | F.isnan(c)
 
 
+def _infinite(c: str) -> Column:
+    return F.coalesce(F.abs(c) == float("inf"), F.lit(False))
+
+
+def usable_features(df: DataFrame) -> DataFrame:
+    """``build_features`` that stops at the first row whose engineered columns hold a missing value or an infinity.
+
+    The gate sits in the first engineered column: whoever writes the table reads its input once, and no table with such rows is ever
+    finished. A filter would be moved below those of the cleaning and judge rows that are to go. Scorers use ``build_features``, since a
+    bad request keeps its row.
+    """
+    built = build_features(df)
+    numbers = engineered_numeric(built)
+    found = F.array_compact(F.array(*[
+        F.when(bad(c), F.lit(f"{c} {what}")) for c in numbers for bad, what in ((_missing, "missing"), (_infinite, "infinite"))]))
+    message = F.concat(F.lit(f"{UNUSABLE}: "), F.array_join(found, ", "))
+    first = numbers[0]
+    return built.withColumn(first, F.when(F.size(found) > 0, F.raise_error(message).cast("int")).otherwise(F.col(first)))
+
+
 def gate_counts(df: DataFrame, columns=None) -> DataFrame:
     """(feature, n_missing, n_infinite) for every engineered numeric column, from one aggregate."""
     columns = list(columns or engineered_numeric(df))
@@ -32,7 +54,7 @@ def gate_counts(df: DataFrame, columns=None) -> DataFrame:
         *[
             F.struct(
                 F.count_if(_missing(c)).alias("n_missing"),
-                F.count_if(F.coalesce(F.abs(c) == float("inf"), F.lit(False))).alias("n_infinite"),
+                F.count_if(_infinite(c)).alias("n_infinite"),
             ).alias(c)
             for c in columns
         ]

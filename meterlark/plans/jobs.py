@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from meterlark import params
+from meterlark.errors import DataValidationError
 from meterlark.functions.spatial import with_anomaly_features
 from meterlark.models import regressors
 from meterlark.models.isolation import IsolationForest
@@ -17,7 +19,7 @@ from meterlark.operators import cleaning, metrics
 from meterlark.operators.anomaly import flag_share, flagged_summary, top_anomalies
 from meterlark.operators.demand import demand_dataset
 from meterlark.operators.encoding import demand_matrix, duration_matrix
-from meterlark.operators.features import build_features, require_usable
+from meterlark.operators.features import UNUSABLE, usable_features
 from meterlark.operators.splits import chronological_split, random_split
 from meterlark.operators.zones import ZoneModel, assign_zone, zone_sizes
 from meterlark.plans import report as evaluation
@@ -37,8 +39,12 @@ def prepare(spark: SparkSession, raw: DataFrame, work: str, unique_places: bool
     firsts = stage(cleaning.first_places(raw), "first-places") if unique_places else None
     write_stage(cleaning.clean_trips(raw, firsts=firsts), f"{work}/train_cleaned")
     report_json(cleaning.cleaning_report(raw, firsts=firsts)).coalesce(1).write.mode("overwrite").text(f"{work}/cleaning_report")
-    write_stage(build_features(read_stage(spark, f"{work}/train_cleaned")), f"{work}/train_features")
-    require_usable(read_stage(spark, f"{work}/train_features"))
+    try:
+        write_stage(usable_features(read_stage(spark, f"{work}/train_cleaned")), f"{work}/train_features")
+    except PySparkException as error:
+        if UNUSABLE not in str(error):
+            raise
+        raise DataValidationError(f"{work}/train_cleaned: {UNUSABLE}; gate_counts tells which") from error
 
 
 def train_zones(spark: SparkSession, work: str, k: int = params.N_ZONES, **settings: Any) -> None:
