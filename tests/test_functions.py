@@ -1,9 +1,11 @@
 import math
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from meterlark.errors import DataValidationError
+from trip_rows import RAW
 from meterlark.functions import numeric, spatial, temporal
 from meterlark.operators import features
 
@@ -96,3 +98,17 @@ def test_gate_names_the_bad_columns(spark):
     with pytest.raises(DataValidationError, match="bearing_sin"):
         features.require_usable(df.select("bearing_sin", "pickup_hour"))
     assert features.require_usable(df.select("pickup_hour")).count() == 2
+
+
+def test_usable_features_stop_at_bad_rows_and_leave_good_ones(spark, trip):
+    names = RAW
+    good = spark.createDataFrame([trip(1), trip(2, passenger_count=3)], names)
+    assert features.usable_features(good).collect() == features.build_features(good).collect()
+    assert features.usable_features(good.limit(0)).count() == 0
+    for changed, column in (({"pickup_datetime": None}, "pickup_hour missing"), ({"dropoff_latitude": float("inf")}, "trip_distance_km"), ({"pickup_longitude": float("nan")}, "bearing_degrees")):
+        bad = spark.createDataFrame([trip(1), trip(2, **changed)], names)
+        with pytest.raises(PySparkException, match=column):
+            features.usable_features(bad).collect()
+        # Rows that a filter takes out are not judged, although the optimizer moves filters down.
+        assert features.usable_features(bad.filter("row_seq = 1")).count() == 1
+        assert features.usable_features(bad).filter("row_seq = 1").count() == 1

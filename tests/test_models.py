@@ -10,7 +10,7 @@ from meterlark.models.extra_trees import ExtraTrees
 from meterlark.models.isolation import IsolationForest, usual_path
 from meterlark.models.ridge import fit_ridge
 from meterlark.models.stacking import Stacking, base_models, fit_stacking, out_of_fold
-from meterlark.models.zone_fit import fit_zones, silhouette, silhouette_of_all
+from meterlark.models.zone_fit import fit_zones, settled, silhouette, silhouette_of_all
 from meterlark.operators.anomaly import flag_share, flagged_summary, top_anomalies
 from meterlark.operators.encoding import category_codes
 from meterlark.operators.zones import ZoneModel
@@ -196,6 +196,23 @@ def test_zones_find_separate_clusters(spark, tmp_path):
     assert load_model(spark, str(tmp_path / "z"), ZoneModel) == zones
 
 
+def test_settled_centres_are_the_means_of_their_rows(spark):
+    rng = np.random.default_rng(7)
+    places = np.concatenate([rng.normal(c, 0.02, size=(60, 2)) for c in ((40.6, -74.0), (40.8, -73.9), (40.7, -73.8))])
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in places] + [(None, -74.0), (float("nan"), -74.0)], "pickup_latitude double, pickup_longitude double")
+    start, factor = ((40.65, -73.95), (40.75, -73.95), (40.7, -73.7), (10.0, 10.0)), 0.75
+    zones = settled(df, ZoneModel(start, factor))
+    straight = places * [1, factor]
+    centres = np.array(start) * [1, factor]
+    for _ in range(100):
+        nearest = ((straight[:, None] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.array([straight[nearest == z].mean(axis=0) if (nearest == z).any() else centres[z] for z in range(4)])
+    assert np.allclose(np.array(zones.centroids) * [1, factor], centres, atol=1e-8)
+    assert zones.centroids[3] == (10.0, 10.0)  # without rows it stays
+    assert math.isclose(zones.inertia, ((straight - centres[nearest]) ** 2).sum(), rel_tol=1e-6)
+    assert settled(df.limit(0), ZoneModel(start, factor)).centroids == start
+
+
 def test_silhouette_of_all_points_equals_all_pairs(spark):
     rng = np.random.default_rng(2)
     xy = np.concatenate([rng.normal(c, 0.4, size=(25, 2)) for c in ((0, 0), (2, 1), (5, 5))] + [[[9.0, 9.0]]])
