@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,8 +18,8 @@ from meterlark.session import stage
 
 # Points of a silhouette unless the caller asks for another number; all of them travel to every task.
 SILHOUETTE_ROWS = 10_000
-# Passes after the best start until no centre moves; a start that has settled needs one.
-SETTLING = 50
+# Distances that a task holds at once.
+CELLS = 1 << 17
 
 
 def fit_zones(
@@ -48,26 +49,122 @@ def fit_zones(
     return settled(points, ZoneModel(tuple((float(c[0]), float(c[1]) / factor) for c in best), factor, float(cost)))
 
 
+def known_points(points: DataFrame) -> DataFrame:
+    """Rows that have a zone. Told by the coordinates: a filter on the zone itself is moved below the projection, which then computes the
+    distances several times in code too long to be compiled (18 s instead of 1.6 s on 580,816 rows)."""
+    return points.filter("abs(pickup_latitude) < double('inf') AND abs(pickup_longitude) < double('inf')")
+
+
 def members(points: DataFrame, zones: ZoneModel) -> DataFrame:
     """(pickup_zone, n, lat, lon, spread): size, mean and sum of squared straightened distances to the mean of every zone that has rows."""
-    known = assign_zone(points, zones).filter("pickup_zone IS NOT NULL")
+    known = assign_zone(known_points(points), zones)
     return known.groupBy("pickup_zone").agg(
         F.count(F.lit(1)).alias("n"), F.avg("pickup_latitude").alias("lat"), F.avg("pickup_longitude").alias("lon"),
         (F.count(F.lit(1)) * (F.var_pop("pickup_latitude") + F.lit(zones.longitude_factor ** 2) * F.var_pop("pickup_longitude"))).alias("spread"))
 
 
-def settled(points: DataFrame, zones: ZoneModel, passes: int = SETTLING) -> ZoneModel:
-    """Move every centre to the mean of its rows until none moves; a centre without rows stays. One aggregate to k rows a pass."""
-    for _ in range(passes):
-        found = {row["pickup_zone"]: row for row in members(points, zones).collect()}
-        if not found:
+def _nearest(lat: np.ndarray, lon: np.ndarray, centres: np.ndarray, factor: float) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Slices of the rows with their zones, as ``ZoneModel.nearest`` finds them, and how much farther the second nearest centre is."""
+    k = len(centres)
+    step = max(1, CELLS // k)
+    for at in (slice(i, i + step) for i in range(0, len(lat), step)):
+        north, east = lat[at, None] - centres[:, 0], (lon[at, None] - centres[:, 1]) * factor
+        squares = north * north + east * east
+        nearest = np.sqrt(np.partition(squares, 1, axis=1)[:, :2]) if k > 1 else np.tile([0.0, np.inf], (len(squares), 1))
+        yield at, squares.argmin(axis=1), nearest[:, 1] - nearest[:, 0]
+
+
+def _may_change(lead: np.ndarray, reach: float) -> np.ndarray:
+    """Rows that may get another zone while no centre is farther than ``reach`` from its place; two centres lose a lead of twice that."""
+    return ~(lead > 2 * reach * (1 + 1e-9) + 1e-12)
+
+
+def zone_sums(rows: DataFrame, zones: ZoneModel, reach: float = 0.0) -> np.ndarray:
+    """Sums of every zone, first of rows that keep it while no centre moves farther than ``reach``, then of the others.
+
+    Per zone: rows, offsets to the north and east from the first centre, squared straightened offsets. Tasks hand over sums, never rows.
+    """
+    centres, factor, k = np.array(zones.centroids), zones.longitude_factor, zones.n_zones
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((4, 2 * k))
+        for batch in batches:
+            lat, lon = batch["pickup_latitude"].to_numpy(np.float64), batch["pickup_longitude"].to_numpy(np.float64)
+            for at, zone, lead in _nearest(lat, lon, centres, factor):
+                cell = zone + k * _may_change(lead, reach)
+                north, east = lat[at] - centres[0, 0], lon[at] - centres[0, 1]
+                for i, weight in enumerate((None, north, east, north * north + (east * factor) ** 2)):
+                    total[i] += np.bincount(cell, weight, 2 * k)
+        yield pd.DataFrame({"cell": np.arange(2 * k), **dict(zip(("n", "north", "east", "squares"), total))}).query("n > 0")
+
+    parts = rows.mapInPandas(task, "cell int, n double, north double, east double, squares double")
+    found = parts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("n", "north", "east", "squares")]).toPandas()
+    sums = np.zeros((2 * k, 4))
+    sums[found["cell"].to_numpy(np.int64)] = found[["n", "north", "east", "squares"]].to_numpy(np.float64)
+    return sums.reshape(2, k, 4)
+
+
+def changeable(rows: DataFrame, zones: ZoneModel, reach: float) -> DataFrame:
+    """The rows that ``zone_sums`` counts as the others."""
+    centres, factor = np.array(zones.centroids), zones.longitude_factor
+
+    def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lat, lon = batch["pickup_latitude"].to_numpy(np.float64), batch["pickup_longitude"].to_numpy(np.float64)
+            keep = [_may_change(lead, reach) for _, _, lead in _nearest(lat, lon, centres, factor)]
+            if keep:
+                yield batch[np.concatenate(keep)]
+
+    return rows.mapInPandas(task, "pickup_latitude double, pickup_longitude double")
+
+
+def settled(points: DataFrame, zones: ZoneModel) -> ZoneModel:
+    """Move every centre to the mean of its rows until none moves; a centre without rows stays. One aggregate to k rows a pass.
+
+    Every pass lowers the inertia, so it ends. Most rows are far from any border: a pass over all rows adds up those that keep their zone
+    while no centre is farther than ``reach`` from where it was, and only the others are read again until one is. The results are those of
+    passes over all rows.
+    """
+    rows = known_points(points.select(*[F.col(c).cast("double").alias(c) for c in ("pickup_latitude", "pickup_longitude")]))
+    factor, reach = zones.longitude_factor, 0.0
+
+    def moved(sums: np.ndarray) -> tuple[ZoneModel, float, float]:
+        """The centres at the means, the longest way a coordinate went, the root mean square distance."""
+        old, n = np.array(zones.centroids), sums[:, 0]
+        has = n > 0
+        offset = sums[has, 1:3] / n[has, None]
+        new = old.copy()
+        new[has] = old[0] + offset
+        inertia = float((sums[has, 3] - n[has] * (offset[:, 0] ** 2 + (offset[:, 1] * factor) ** 2)).clip(0.0).sum())
+        model = ZoneModel(tuple((float(a), float(b)) for a, b in new), factor, inertia)
+        return model, float(abs(new - old).max()), math.sqrt(inertia / n.sum())
+
+    def shifted(sums: np.ndarray, by: np.ndarray) -> np.ndarray:
+        """The same sums with offsets from an origin that lies ``by`` farther north and east."""
+        n, north, east, squares = sums.T
+        return np.stack([n, north - n * by[0], east - n * by[1], squares - 2 * (north * by[0] + east * by[1] * factor**2)
+                         + n * (by[0] ** 2 + (by[1] * factor) ** 2)], axis=1)
+
+    while True:
+        base = zones
+        sure, others = zone_sums(rows, base, reach)
+        if not (sure[:, 0] + others[:, 0]).any():
+            return zones
+        zones, way, width = moved(sure + others)
+        if way < 1e-9:
             return zones
-        centres = tuple((found[z]["lat"], found[z]["lon"]) if z in found else c for z, c in enumerate(zones.centroids))
-        moved = max(abs(a - b) for old, new in zip(zones.centroids, centres) for a, b in zip(old, new))
-        zones = ZoneModel(centres, zones.longitude_factor, float(sum(row["spread"] for row in found.values())))
-        if moved < 1e-9:
-            break
-    return zones
+        few = changeable(rows, base, reach).persist() if reach else None
+        try:
+            while few is not None and np.hypot(*((np.array(zones.centroids) - base.centroids) * [1, factor]).T).max() <= reach:
+                origin = np.subtract(zones.centroids[0], base.centroids[0])
+                zones, way, width = moved(shifted(sure, origin) + zone_sums(few, zones).sum(axis=0))
+                if way < 1e-9:
+                    return zones
+        finally:
+            if few is not None:
+                few.unpersist()
+        # A wide reach is left seldom but leaves many rows to read again.
+        reach = math.sqrt(2 * way * width)
 
 
 def silhouette(spark: SparkSession, points: DataFrame, label: str = "pickup_zone", most: int = SILHOUETTE_ROWS) -> float:

@@ -10,7 +10,7 @@ from meterlark.models.extra_trees import ExtraTrees
 from meterlark.models.isolation import IsolationForest, usual_path
 from meterlark.models.ridge import fit_ridge
 from meterlark.models.stacking import Stacking, base_models, fit_stacking, out_of_fold
-from meterlark.models.zone_fit import fit_zones, settled, silhouette, silhouette_of_all
+from meterlark.models.zone_fit import changeable, fit_zones, members, settled, silhouette, silhouette_of_all, zone_sums
 from meterlark.operators.anomaly import flag_share, flagged_summary, top_anomalies
 from meterlark.operators.encoding import category_codes
 from meterlark.operators.zones import ZoneModel
@@ -234,3 +234,42 @@ def test_many_categories_are_numbered_in_order(spark):
     wrong = codes.filter(F.substring("value", 2, 7).cast("long") != F.col("code")).count()
     assert codes.count() == n and wrong == 0
     assert category_codes(df.limit(0), "v").count() == 0
+
+
+def test_zones_settle_however_many_passes_it_takes(spark):
+    """The centres must be the means of their rows, also where fifty passes do not settle them."""
+    rng = np.random.default_rng(3)
+    east = np.sort(rng.random(1500) ** 2)
+    df = spark.createDataFrame([(40.5, float(-74 + e)) for e in east], "pickup_latitude double, pickup_longitude double").coalesce(1)
+    start, factor = tuple((40.5, -74 + 0.01 * z) for z in range(6)), 0.75
+    zones = settled(df, ZoneModel(start, factor))
+    place = np.array([b for _, b in zones.centroids])
+    nearest = abs((-74 + east)[:, None] - place).argmin(axis=1)
+    means = np.array([(-74 + east)[nearest == z].mean() for z in range(6)])
+    assert abs(place - means).max() < 1e-8
+    assert math.isclose(zones.inertia, float((((-74 + east) - means[nearest]) ** 2).sum() * factor**2), rel_tol=1e-9)
+
+
+def test_rows_that_keep_their_zone_are_not_read_again(spark):
+    rng = np.random.default_rng(4)
+    places = rng.random((2000, 2))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in places], "pickup_latitude double, pickup_longitude double")
+    zones, reach = ZoneModel(((0.2, 0.3), (0.7, 0.2), (0.6, 0.8)), 0.8), 0.03
+    sure, others = zone_sums(df, zones, reach)
+    few = changeable(df, zones, reach)
+    assert 0 < few.count() == others[:, 0].sum() < 1000 and sure[:, 0].sum() + others[:, 0].sum() == 2000
+    kept = {tuple(map(float, p)) for p in places} - {tuple(r) for r in few.collect()}
+    straight, old = np.array(sorted(kept)) * [1, 0.8], np.array(zones.centroids) * [1, 0.8]
+    first = ((straight[:, None] - old) ** 2).sum(axis=2).argmin(axis=1)
+    for _ in range(20):
+        step = rng.normal(size=old.shape)
+        new = old + reach * step / np.linalg.norm(step, axis=1, keepdims=True)
+        assert (((straight[:, None] - new) ** 2).sum(axis=2).argmin(axis=1) == first).all()
+
+
+def test_zone_members_do_not_filter_on_the_zone(spark):
+    df = spark.createDataFrame([(0.1, 0.1), (0.9, 0.8), (None, 0.1), (0.2, float("inf"))], "pickup_latitude double, pickup_longitude double")
+    found = members(df, ZoneModel(((0.0, 0.0), (1.0, 1.0)), 0.8))
+    assert [(r["pickup_zone"], r["n"]) for r in found.orderBy("pickup_zone").collect()] == [(0, 1), (1, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("array_min" in line for line in plan.splitlines() if "Filter" in line)
