@@ -647,13 +647,13 @@ def m1_settled_zones(spark, sf_dir):
         """Squared straightened distances of all rows to the centres they are assigned to."""
         centres = F.broadcast(model.to_table(spark).select(F.col("zone_id").alias("pickup_zone"), "lat", "lon"))
         gaps = (F.col("pickup_latitude") - F.col("lat")) ** 2 + ((F.col("pickup_longitude") - F.col("lon")) * model.longitude_factor) ** 2
-        return zones.assign_zone(points, model).join(centres, "pickup_zone").agg(F.sum(gaps).alias("inertia"))
+        return zones.assign_zone(points, model).join(centres, "pickup_zone", "left").agg(F.sum(gaps).alias("inertia"))
 
     means = zone_fit.members(points, fitted).withColumnRenamed("lat", "mean_lat").withColumnRenamed("lon", "mean_lon")
     centres = fitted.to_table(spark).select(F.col("zone_id").alias("pickup_zone"), "lat", "lon")
     gap = F.greatest(F.abs(F.col("lat") - F.col("mean_lat")), F.abs(F.col("lon") - F.col("mean_lon")))
     fixed = ZoneModel(fixed_zones().centroids, fitted.longitude_factor)
-    held = means.join(centres, "pickup_zone").agg(F.sum("n").alias("n"), F.max(gap).alias("centre_gap"))
+    held = means.join(centres, "pickup_zone", "left").agg(F.sum("n").alias("n"), F.max(gap).alias("centre_gap"))
     compared = held.crossJoin(inertia(fitted)).crossJoin(inertia(fixed).withColumnRenamed("inertia", "fixed"))
     return rounded(compared.select(
         F.lit(fitted.n_zones).alias("zones"), "n", F.lit(fitted.longitude_factor).alias("factor"), "centre_gap",
