@@ -26,6 +26,8 @@ PAIRS_PER_READ = 10_000
 DRAWS = 4
 # Pairs whose sums a task hands over at once.
 HANDED = 1000
+# Rows of a batch per open node from which each node's rows are added up by a matrix product; fewer are added up together.
+ROWS_BY_PRODUCT = 64
 # Steps of the 32-bit mixing that makes a draw of its keys; any engine with whole numbers can repeat them.
 MIX_STEP, MIX_FIRST, MIX_SECOND = 0x9E3779B9, 0x2C1B3C6D, 0x297A2D39
 
@@ -117,7 +119,7 @@ def sums_of(train: DataFrame, columns: Sequence[str], trees: Trees, pairs: Pairs
     """Per pair and feature: rows, label sums, true range, and for every draw its threshold and the rows and label sum at or below it."""
     slots = pairs.slots(trees)
     shared = train.sparkSession.sparkContext.broadcast((trees.packed(slots), slots, pairs))
-    p, n_pairs = len(columns), len(pairs)
+    p, n_pairs, by_product = len(columns), len(pairs), ROWS_BY_PRODUCT
     drawn = [(f"left{k}", f"sum{k}", f"cut{k}") for k in range(DRAWS)]
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,6 +142,14 @@ def sums_of(train: DataFrame, columns: Sequence[str], trees: Trees, pairs: Pairs
                 n += np.bincount(slot, minlength=n_pairs)
                 sy += np.bincount(slot, y, n_pairs)
                 syy += np.bincount(slot, y * y, n_pairs)
+                if len(rows) >= by_product * len(seen):
+                    for s, own in zip(seen, (slice(*ends) for ends in zip(starts, [*starts[1:], len(rows)]))):
+                        lo[s], hi[s] = np.minimum(lo[s], x[own].min(axis=0)), np.maximum(hi[s], x[own].max(axis=0))
+                        below = (x[own] <= cuts[:, s, None, :]).astype(np.float64)
+                        added = np.stack([np.ones(len(below[0])), y[own]]) @ below
+                        left[:, s] += added[:, 0]
+                        sums[:, s] += added[:, 1]
+                    continue
                 lo[seen] = np.minimum(lo[seen], np.minimum.reduceat(x, starts, axis=0))
                 hi[seen] = np.maximum(hi[seen], np.maximum.reduceat(x, starts, axis=0))
                 for k in range(DRAWS):
